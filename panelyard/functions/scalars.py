@@ -37,11 +37,13 @@ def as_double(df: DataFrame, name: str) -> Column:
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:
-    """The column as timestamp; text that is no date-time becomes null."""
-    column = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.try_to_timestamp(column)
-    return column.cast("timestamp")
+    """The column as timestamp; text that is no date-time becomes null. Columns
+    that are timestamps already are left alone, so filters on them still reach
+    the scan."""
+    column, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return column
+    return F.try_to_timestamp(column) if isinstance(kind, T.StringType) else column.cast("timestamp")
 
 
 def identifier(column: Column) -> Column:

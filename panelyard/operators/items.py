@@ -57,14 +57,32 @@ def with_status(df: DataFrame, spec: PanelSpec) -> DataFrame:
     return df.where(F.col(spec.columns.status) == F.lit(spec.status))
 
 
-def to_items(raw: DataFrame, spec: PanelSpec, order: Sequence[str | Column]) -> DataFrame:
+def only_ids_off_status(df: DataFrame, spec: PanelSpec, keep: Sequence[str] = ()) -> DataFrame:
+    """Empties the other columns of rows that are not in the wanted status.
+
+    Such rows take part in the dedup, where their copy may be the first, and are
+    dropped after it; until then only their key, order and status have to travel.
+    """
+    roles = spec.columns
+    wanted = F.col(roles.status) == F.lit(spec.status)
+    fixed = {roles.item_id, roles.status, *keep}
+    return df.withColumns({c: F.when(wanted, F.col(c)) for c in df.columns if c not in fixed})
+
+
+def unique_items(raw: DataFrame, spec: PanelSpec, order: Sequence[str]) -> DataFrame:
+    """Raw rows to typed items, one per id. Rows off status keep only key, order
+    and status."""
+    slim = only_ids_off_status(drop_dead_columns(raw), spec, order)
+    return typed(first_per_key(slim, [spec.columns.item_id], order), spec)
+
+
+def to_items(raw: DataFrame, spec: PanelSpec, order: Sequence[str]) -> DataFrame:
     """Raw rows to typed items: dedup, then typing, then the status filter.
 
     The status filter comes after the dedup on purpose: an id whose first copy
     is off-status is gone even if a later copy is not.
     """
-    unique = first_per_key(drop_dead_columns(raw), [spec.columns.item_id], order)
-    return with_status(typed(unique, spec), spec)
+    return with_status(unique_items(raw, spec, order), spec)
 
 
 def matching(df: DataFrame, filters: Mapping[str, object]) -> DataFrame:

@@ -14,6 +14,9 @@ from panelyard.spec import NO_CLASS, OTHER_CLASSES, PanelSpec
 PERIOD = "semana"
 CLASS = "classe"
 
+# Rows of a (class code) table that may be broadcast: a few megabytes.
+BROADCAST_ROWS = 100_000
+
 # What a cell without purchases holds: nothing was bought, so these are zero.
 # Medians stay null, because there was no price to observe.
 _ZERO_WHEN_EMPTY = ["valor_total", "n_itens", "qtd_total", "valor_estimado_total",
@@ -44,15 +47,18 @@ def top_classes(items: DataFrame, spec: PanelSpec) -> DataFrame:
 def with_reduced_class(items: DataFrame, spec: PanelSpec) -> DataFrame:
     """Adds ``classe``: a top class, the bucket of the rest, or that of no class.
 
-    The table of top classes has at most ``top_classes`` rows by construction,
-    so it is broadcast and the items are not shuffled.
+    The table of top classes has at most ``top_classes`` rows by construction;
+    up to a size that fits anywhere it is broadcast and the items are not
+    shuffled.
     """
     code = F.col(spec.columns.class_code)
     top = top_classes(items, spec).select(F.col("codigo").alias("_top"))
     label = (F.when(code.isNull(), F.lit(NO_CLASS))
              .when(F.col("_top").isNotNull(), code)
              .otherwise(F.lit(OTHER_CLASSES)))
-    return (items.join(F.broadcast(top), code == F.col("_top"), "left")
+    if spec.top_classes <= BROADCAST_ROWS:
+        top = F.broadcast(top)
+    return (items.join(top, code == F.col("_top"), "left")
             .withColumn(CLASS, label).drop("_top"))
 
 

@@ -29,7 +29,7 @@ class _Numeric(HasInputCols, HasOutputCol):
 
     def __init__(self):
         super().__init__()
-        self._setDefault(outputCol="numeric", exactGroupRows=5_000_000)
+        self._setDefault(outputCol="numeric", exactGroupRows=1_000_000)
 
 
 class ImputeAndScale(Estimator, _Numeric, DefaultParamsReadable, DefaultParamsWritable):

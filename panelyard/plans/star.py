@@ -20,8 +20,17 @@ SPEC = PanelSpec(top_classes=20, status="F", ceiling=100_000.0, sum_scale=4)
 FEED_ORDER = ["l_shipdate", "l_partkey", "l_suppkey"]
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """One of the test tables. Its footer is looked at once per application, so
+    that queries do not each start with a job per table to find out its columns."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    path = f"{folder}/{name}.parquet"
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def lines_first(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,7 +53,7 @@ def with_roles(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     roles = SPEC.columns
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias(roles.item_id),
-        F.col("l_shipdate").cast("timestamp").alias(roles.included_at),
+        F.col("l_shipdate").alias(roles.included_at),
         F.col("l_linestatus").alias(roles.kind),
         F.when(F.col("p_brand") != "Brand#1", F.concat(F.col("p_size").cast("string"), F.lit(".0")))
         .alias(roles.class_code),

@@ -27,7 +27,7 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
+def local_session(cpus: int | str = "*", memory: str = "8g", **conf: str) -> SparkSession:
     """A single-machine session, for tests and benchmarks."""
     parallel = 8 if cpus == "*" else int(cpus)
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("panelyard")
@@ -35,7 +35,7 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
                .config("spark.driver.memory", memory)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
-    for name, value in SESSION_CONF.items():
+    for name, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -45,15 +45,17 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    single-machine session may fall back to a temporary folder.
+    It is the one the cluster names in ``spark.checkpoint.dir``, else the one set
+    on the context. Only a single-machine session may fall back to a temporary
+    folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="panelyard-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="panelyard-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

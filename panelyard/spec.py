@@ -76,7 +76,7 @@ class PanelSpec:
     status: str = "Homologado"
     ceiling: float = 10_000_000_000.0
     sum_scale: int | None = None
-    exact_group_rows: int = 5_000_000
+    exact_group_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         Calendar.of(self.freq)

@@ -1,0 +1,31 @@
+"""Every registered query against its SQL, on the smallest tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from oracle_check import connect, differences
+
+FOLDER = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(FOLDER)
+
+
+def test_every_query_has_its_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_its_sql(spark, con, name):
+    found = differences(spark, con, entry.queries()[name], entry.oracle_sql()[name], FOLDER)
+    assert not found or found == ["no rows on either side"], found
+
+
+def test_flagship(spark):
+    assert entry.entry(spark).count() > 0
