@@ -27,6 +27,13 @@ def panel_key(spec: PanelSpec) -> list[str]:
     return [PERIOD, spec.columns.kind, CLASS]
 
 
+def item_columns(spec: PanelSpec) -> list[str]:
+    """The columns of the items a panel is made of."""
+    roles = spec.columns
+    return [roles.included_at, roles.kind, roles.class_code, roles.quantity, roles.unit_estimate,
+            roles.estimated, roles.awarded, roles.supplier, roles.organ]
+
+
 def combo_key(spec: PanelSpec) -> list[str]:
     return [spec.columns.kind, CLASS]
 

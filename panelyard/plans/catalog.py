@@ -131,14 +131,18 @@ def reduced_class(spark: SparkSession, folder: str) -> DataFrame:
     return panel.with_reduced_class(layer, SPEC).select(ROLES.item_id, ROLES.class_code, panel.CLASS)
 
 
+def _panel_items(spark, folder) -> DataFrame:
+    return kept_layer(spark, folder, *panel.item_columns(SPEC))
+
+
 @query
 def panel_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Cells with purchases, before the rectangle is completed."""
-    return panel.panel_cells(kept_layer(spark, folder), SPEC)
+    return panel.panel_cells(_panel_items(spark, folder), SPEC)
 
 
 def _panel(spark, folder, freq: str) -> DataFrame:
-    return panel.to_panel(kept_layer(spark, folder), for_freq(freq))
+    return panel.to_panel(_panel_items(spark, folder), for_freq(freq))
 
 
 @query
@@ -165,13 +169,13 @@ def panel_daily(spark: SparkSession, folder: str) -> DataFrame:
 def panel_ranked_medians(spark: SparkSession, folder: str) -> DataFrame:
     """The weekly panel's cells with the medians taken by distributed rank."""
     spread = dataclasses.replace(SPEC, exact_group_rows=1)
-    return panel.panel_cells(kept_layer(spark, folder), spread)
+    return panel.panel_cells(_panel_items(spark, folder), spread)
 
 
 @query
 def panel_invariants(spark: SparkSession, folder: str) -> DataFrame:
     """Rows, periods, pairs and total of the panel next to the kept total."""
-    layer = kept_layer(spark, folder)
+    layer = _panel_items(spark, folder)
     facts = checks.panel_facts(panel.to_panel(layer, SPEC), SPEC)
     expected = layer.agg(scalars.money_sum(F.col(ROLES.awarded), SPEC.sum_scale)).scalar()
     return facts.select("n_rows", "n_periods", "n_combos", F.round("total", 2).alias("total"),

@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 log = logging.getLogger("panelyard")
 
 # What the results depend on (time zone) and what the plans rely on (run-time
-# re-planning, skewed-join splitting).
+# re-planning, skewed-join splitting, stream state that may outgrow memory).
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Ids remembered for stream dedup may outgrow memory: keep state on disk.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
