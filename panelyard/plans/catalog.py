@@ -7,7 +7,7 @@ All of them read the whole test tables. The item queries run on the feed of
 from __future__ import annotations
 
 import dataclasses
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
@@ -18,10 +18,13 @@ from pyspark.sql import types as T
 from panelyard.functions import scalars
 from panelyard.functions.calendar import chunk_grid
 from panelyard.operators import checks, chunks, features, folds, items, panel, reports, transform
+from panelyard.plans.collect import collect
+from panelyard.plans.prepare import load_items
 from panelyard.plans.star import (FEED_ORDER, SPEC, kept_layer, raw_feed, table, typed_items,
-                                  unique_items)
+                                  unique_items, with_roles)
 from panelyard.session import scratch_path, staged
 from panelyard.sources import csv_items, landing, manifest, pages
+from panelyard.spec import CollectSpec
 from panelyard.streaming import feed
 
 ROLES = SPEC.columns
@@ -330,6 +333,12 @@ def _landed_pages(spark, folder) -> DataFrame:
         body.alias("payload"))
 
 
+def _one_json_page_a_line(landed: DataFrame) -> DataFrame:
+    """Page texts with the page number put inside the object."""
+    inside = F.concat(F.lit('{"page":'), F.col("page"), F.lit(","), F.expr("substring(payload, 2)"))
+    return landed.select("chunk_start", inside.alias("value"))
+
+
 _EVENT_RECORD = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
     T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
@@ -349,6 +358,24 @@ def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
     return pages.page_completeness(pages.parse_pages(landed, "payload", _EVENT_RECORD))
 
 
+@query
+def collected_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows and distinct events per chunk of the table two runs leave behind: the
+    second one reads only the chunk that was still open, once more."""
+    root = scratch_path(spark, "collect")
+    landed = _one_json_page_a_line(_landed_pages(spark, folder))
+    landed.write.partitionBy("chunk_start").text(f"{root}/pages")
+    window = _event_window(spark, folder).first()
+    spec = CollectSpec(end_date=window["last"], window_days=(window["last"] - window["first"]).days,
+                       chunk_days=CHUNK_DAYS, columns=("event_id", "event_type", "value"))
+    for _ in range(2):
+        collect(spark, spec, f"{root}/pages", pages.text_record(_EVENT_RECORD.names),
+                f"{root}/table", f"{root}/manifest", window["last"] - timedelta(days=1),
+                one_per_file=False)
+    return (spark.read.parquet(f"{root}/table").groupBy("chunk_start")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_events")))
+
+
 @query
 def landing_append(spark: SparkSession, folder: str) -> DataFrame:
     """Two appends to one table: the first pins the columns for the second."""
@@ -374,6 +401,19 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.length(text).alias("length"), F.col("n_chars").cast("long"))
 
 
+@query
+def prepared_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way: the feed as CSV files in feed order, scanned, typed,
+    deduplicated by file order, split, and aggregated to the weekly panel."""
+    path = scratch_path(spark, "feed")
+    feed_rows = with_roles(table(spark, folder, "lineitem"), spark, folder, FEED_ORDER)
+    in_order = feed_rows.orderBy(*FEED_ORDER).drop(*FEED_ORDER)
+    landing.append_landing(in_order, path, fmt="csv")
+    loaded, _, _ = load_items(spark, path, SPEC)
+    kept, _ = items.split_suspects(loaded, SPEC)
+    return panel.to_panel(kept.select(*panel.item_columns(SPEC)), SPEC)
+
+
 @query
 def weekly_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Chunk totals of the events, computed as a stream that ran to its end."""
@@ -412,6 +452,24 @@ def impute_scale_train_only(spark: SparkSession, folder: str) -> DataFrame:
         *[F.round(values[i], 6).alias(n) for i, n in enumerate(model.getInputCols())])
 
 
+@query
+def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole transformer, fitted on the train rows of the second fold: width
+    of the vector, sum of its scaled numbers, and how many categories are set."""
+    spec = for_freq("M")
+    rows = staged(features.build_features(_panel(spark, folder, "M"), spec), "features")
+    train, test = list(folds.fold_parts(rows, 3))[1]
+    made = transform.build_transformer(spec).fit(train).transform(test)
+    width = len(features.numeric_features(spec))
+    vector = vector_to_array("features")
+    return made.select(
+        *panel.panel_key(spec), F.size(vector).alias("width"),
+        F.round(F.aggregate(F.slice(vector, 1, width), F.lit(0.0), lambda a, b: a + b), 4)
+        .alias("numeric_sum"),
+        F.aggregate(F.slice(vector, width + 1, 1000), F.lit(0.0), lambda a, b: a + b)
+        .cast("int").alias("n_set"))
+
+
 @query
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
     """Categories of the panel's first periods, applied to all of it: a category

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from panelyard.functions.calendar import CHUNK_EPOCH
+from panelyard.operators import features as features_module
 from panelyard.plans.catalog import CHUNK_DAYS, FOLDS, PAGE_SIZE
 from panelyard.plans.star import SPEC
 from panelyard.spec import NO_CLASS, OTHER_CLASSES, REASON_VALUE
@@ -85,7 +88,9 @@ panel AS (
   LEFT JOIN cells USING (semana, "{ROLES.kind}", classe))"""
 
 
-def features(freq: str) -> str:
+def features(freq: str, rounded: bool = True) -> str:
+    """Sine and cosine are rounded for the comparison, unless they are used on."""
+    wave = "round({}, 6) + 0.0" if rounded else "{}"
     per_year = _PER_YEAR[freq]
     trend = {"W": "date_diff('day', first, semana) // 7", "D": "date_diff('day', first, semana)",
              "M": "date_diff('month', first, semana)",
@@ -98,7 +103,7 @@ def features(freq: str) -> str:
     return f"""{panel(freq)},
 features AS (
   SELECT panel.*, weekofyear(semana) AS semana_do_ano, month(semana) AS mes,
-         round(sin({angle}), 6) + 0.0 AS sazonal_sen, round(cos({angle}), 6) + 0.0 AS sazonal_cos,
+         {wave.format(f'sin({angle})')} AS sazonal_sen, {wave.format(f'cos({angle})')} AS sazonal_cos,
          {trend} AS tendencia, {lags},
          CASE WHEN count(*) OVER b = 4 THEN CAST(sum({value}) OVER b AS DOUBLE) / 4 END
            AS valor_media_4,
@@ -191,6 +196,27 @@ SELECT role, {KEY}, {', '.join(scaled(n) for n in names)}
 FROM parts CROSS JOIN medians CROSS JOIN stats"""
 
 
+def feature_matrix() -> str:
+    names = features_module.numeric_features(dataclasses.replace(SPEC, freq="M"))
+    medians = ", ".join(f"median({n}) AS m_{n}" for n in names)
+    stats = ", ".join(f"avg(coalesce({n}, m_{n})) AS a_{n}, "
+                      f"stddev_pop(coalesce({n}, m_{n})) AS s_{n}" for n in names)
+    total = " + ".join(f"(coalesce({n}, m_{n}) - a_{n}) / s_{n}" for n in names)
+    kind = f'"{ROLES.kind}"'
+    return f"""WITH {features('M', rounded=False)}, {FOLD_RULE.format(source='features', n=3)},
+parts AS (SELECT role, features.* FROM features JOIN folds USING (semana)
+          WHERE fold = 1 AND role IS NOT NULL),
+train AS (SELECT * FROM parts WHERE role = 'train'),
+medians AS (SELECT {medians} FROM train),
+stats AS (SELECT {stats} FROM train CROSS JOIN medians)
+SELECT {KEY}, CAST({len(names)} + (SELECT count(DISTINCT {kind}) + count(DISTINCT classe) FROM train)
+                   AS INTEGER) AS width,
+       round({total}, 4) AS numeric_sum,
+       CAST(({kind} IN (SELECT {kind} FROM train)) AS INTEGER)
+         + CAST((classe IN (SELECT classe FROM train)) AS INTEGER) AS n_set
+FROM parts CROSS JOIN medians CROSS JOIN stats WHERE role = 'test'"""
+
+
 def text_coercion() -> str:
     awarded = "CASE WHEN l_orderkey % 7 IN (0, 1, 2, 3) THEN NULL ELSE l_extendedprice END"
     whole = "CAST(floor(cents / 100) AS BIGINT)"
@@ -322,13 +348,20 @@ SELECT chunk_start, max(page) AS last_page, count(DISTINCT page) AS n_pages,
        max(page) AS terminal_page, count(*) AS n_records,
        count(DISTINCT page) = max(page) AS complete
 FROM paged GROUP BY 1""",
+    "collected_chunks": f"""WITH {PAGES}
+SELECT chunk_start, count(*) * CASE WHEN chunk_start + {CHUNK_DAYS} <= last THEN 1 ELSE 2 END AS n_rows,
+       count(*) AS n_events
+FROM assigned CROSS JOIN (SELECT CAST(max(ts) AS DATE) AS last FROM events)
+GROUP BY chunk_start, last""",
     "landing_append": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
     "csv_round_trip": """SELECT doc_id, lang, source, md5(coalesce(text, '')) AS text_md5,
        CAST(length(coalesce(text, '')) AS INTEGER) AS length, CAST(n_chars AS BIGINT) AS n_chars
 FROM documents""",
+    "prepared_from_csv": f"WITH {panel('W')} SELECT * FROM panel",
     "weekly_event_stream": EVENT_TOTALS,
     "temporal_folds": f"""WITH {panel('W')}, {FOLD_RULE.format(source='panel', n=FOLDS)}
 SELECT fold, role, {KEY} FROM panel JOIN folds USING (semana) WHERE role IS NOT NULL""",
     "impute_scale_train_only": impute_scale(),
+    "feature_matrix": feature_matrix(),
     "one_hot": one_hot(),
 }

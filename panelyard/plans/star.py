@@ -6,6 +6,8 @@ naturally repeated, its discounts of zero play items never awarded.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +41,8 @@ def lines_first(spark: SparkSession, folder: str) -> DataFrame:
                                ["l_orderkey", "l_linenumber"], FEED_ORDER)
 
 
-def with_roles(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+def with_roles(lines: DataFrame, spark: SparkSession, folder: str,
+               keep: Sequence[str] = ()) -> DataFrame:
     """Joins the dimensions and names the columns by their role.
 
     Join strategies are left to the optimizer: dimensions below its size limit
@@ -66,6 +69,7 @@ def with_roles(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.col("o_custkey").cast("string"), 14, "0").alias(roles.organ),
         F.col("p_type").alias(roles.category),
         F.col("p_name").alias(roles.description),
+        *keep,
     )
 
 
