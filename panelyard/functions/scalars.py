@@ -13,9 +13,9 @@ MISSING_TOKENS = (
     "nan", "null",
 )
 
-# A decimal literal, or an infinity. A bare cast would also take Java suffixes
-# ("10d") and hexadecimal floats.
-_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+# A bare cast would also take Java suffixes ("10d") and hexadecimal floats.
+_JAVA_ONLY = r"[dDfFxX]"
+_INFINITY = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
 def missing_to_null(column: Column, tokens: tuple[str, ...] = MISSING_TOKENS) -> Column:
@@ -24,7 +24,9 @@ def missing_to_null(column: Column, tokens: tuple[str, ...] = MISSING_TOKENS) ->
 
 def text_to_double(column: Column) -> Column:
     """Text to double; whatever is not a number becomes null."""
-    return F.when(column.rlike(_NUMBER), column.try_cast("double"))
+    value = column.try_cast("double")
+    plain = ~column.rlike(_JAVA_ONLY) | column.rlike(_INFINITY)
+    return F.when(plain & ~F.isnan(value), value)
 
 
 def as_double(df: DataFrame, name: str) -> Column:

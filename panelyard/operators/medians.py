@@ -53,7 +53,10 @@ def _ranked_medians(df: DataFrame, key: list[str], values: list[str]) -> DataFra
              .withColumn("_start", F.col("_end") - F.col("_size")))
     holds_middle = ((F.col("_low") > F.col("_start")) & (F.col("_low") <= F.col("_end"))
                     | (F.col("_high") > F.col("_start")) & (F.col("_high") <= F.col("_end")))
-    wanted = sizes.where(holds_middle).select(*group, "_part", "_start", "_low", "_high")
+    # Written, so that the optimizer knows its size: at most two rows per group
+    # and column, it is broadcast when it is small and the other parts stay put.
+    wanted = staged(sizes.where(holds_middle)
+                    .select(*group, "_part", "_start", "_low", "_high"), "middle_parts")
 
     same = [F.col(f"v.{c}").eqNullSafe(F.col(f"w.{c}")) for c in [*group, "_part"]]
     near = parts.alias("v").join(wanted.alias("w"), same).select("v.*", "_start", "_low", "_high")

@@ -28,7 +28,7 @@ _SCHEMAS: dict = {}
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the test tables. Its footer is looked at once per application, so
     that queries do not each start with a job per table to find out its columns."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    key = (spark.conf.get("spark.app.id", ""), folder, name)
     path = f"{folder}/{name}.parquet"
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema

@@ -52,8 +52,9 @@ def scratch_root(spark: SparkSession) -> str:
     on the context. Only a single-machine session may fall back to a temporary
     folder.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = None if folder else spark.sparkContext
+    folder = folder or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

@@ -1,5 +1,6 @@
 import datetime
 
+from panelyard.sources import pages
 from panelyard.streaming import feed
 
 SCHEMA = "event_id long, ts timestamp, kind string, value double"
@@ -49,6 +50,18 @@ def test_stream_equals_batch(spark, tmp_path):
     assert totals_of(spark, str(tmp_path), "60 days") == expected
 
 
+def test_pages_as_a_stream(spark, tmp_path):
+    folder = tmp_path / "in" / "chunk_start=2024-01-01" / "page=1"
+    folder.mkdir(parents=True)
+    (folder / "p.json").write_text('{"resultado": [{"id": 1}, {"id": 2}], "paginasRestantes": 0}')
+    stream = pages.stream_pages(spark, f"{tmp_path}/in", pages.text_record(["id"]))
+    rows = pages.page_rows(stream)
+    feed.land_stream(rows, f"{tmp_path}/raw", f"{tmp_path}/state").awaitTermination()
+    made = spark.read.parquet(f"{tmp_path}/raw").orderBy("position").collect()
+    assert [(str(r["chunk_start"]), r["page"], r["id"]) for r in made] == [
+        ("2024-01-01", 1, "1"), ("2024-01-01", 1, "2")]
+
+
 def test_landing_a_stream_is_exactly_once(spark, tmp_path):
     root = str(tmp_path)
     schema = spark.createDataFrame([], SCHEMA).schema
