@@ -328,7 +328,8 @@ def _landed_pages(spark, folder) -> DataFrame:
             .agg(F.min("block").alias("first"), F.max("block").alias("last")))
     body = F.to_json(F.struct(
         pages.RECORDS, (F.col("last") - F.col("block")).cast("int").alias(pages.REMAINING)))
-    return paged.join(ends, "chunk_start").select(
+    # One row per chunk: bounded by the calendar.
+    return paged.join(F.broadcast(ends), "chunk_start").select(
         "chunk_start", (F.col("block") - F.col("first") + 1).cast("int").alias("page"),
         body.alias("payload"))
 
