@@ -9,9 +9,7 @@ from datetime import date, timedelta
 
 from panelyard.functions.calendar import Calendar
 
-# The landing columns of one procurement item and what they are.
-TEXT_COLUMNS = ("idCompraItem", "orgaoEntidadeCnpj", "unidadeOrgaoCodigoUnidade",
-                "codigoClasse", "codItemCatalogo")
+# Landing columns that are numbers, and those that carry nothing.
 NUMERIC_COLUMNS = ("quantidade", "valorUnitarioEstimado", "valorTotal",
                    "valorTotalResultado")
 DEAD_COLUMNS = ("itemCategoriaNome", "temResultado", "codigoGrupo")
