@@ -14,11 +14,11 @@ parts AS (
   FROM t),
 windows AS (
   SELECT doc_id, unnest(list_transform(range(1, len(w) - 1),
-    lambda i: {'at': i, 'gram': w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]}), recursive := true)
+    lambda i: {'spot': i, 'gram': w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]}), recursive := true)
   FROM parts WHERE len(w) >= 3),
-repeated AS (SELECT doc_id, at FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, gram) >= 2),
+repeated AS (SELECT doc_id, spot FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, gram) >= 2),
 covered AS (
-  SELECT doc_id, count(DISTINCT at + k) AS n
+  SELECT doc_id, count(DISTINCT spot + k) AS n
   FROM repeated, (VALUES (0), (1), (2)) AS v(k) GROUP BY doc_id),
 counts AS (
   SELECT p.doc_id, len(w) AS n_words,

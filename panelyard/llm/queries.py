@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelyard.llm import quality_rules
+from panelyard.llm import bpe, quality_rules
 from panelyard.llm.frames import documents
 
 
@@ -16,6 +18,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encoded(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op5_bpe": op5_bpe,
 }
