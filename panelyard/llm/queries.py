@@ -8,8 +8,18 @@ from public_tokenizers import path as tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, quality_rules
+from panelyard.llm import bpe, quality_rules, token_store
 from panelyard.llm.frames import documents
+from panelyard.session import scratch_path
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token_store")
+    token_store.write(documents(spark, sf_dir), folder, tokenizer("byte_bpe_50k.json"), end_id=0)
+    found = token_store.read_documents(spark, folder)
+    digests = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return token_store.with_starts(spark, folder, digests).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +35,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_store": op2_token_store,
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe": op5_bpe,
 }

@@ -1,0 +1,85 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from public_tokenizers import path
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from panelyard.llm import token_store
+from panelyard.llm.token_store import EliasFano
+
+FILE = path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("top", [1, 3, 1000, 1 << 40, (1 << 64) - 1])
+def test_elias_fano_round_trip_and_select(top):
+    rng = random.Random(top)
+    for n in (0, 1, 2, 7, 255, 256, 257, 3000):
+        values = sorted(rng.randint(0, top) for _ in range(n))
+        coded = EliasFano.of(np.array(values, np.uint64))
+        assert coded.all().tolist() == values
+        assert [coded.select(i) for i in range(n)] == values
+        if n:
+            # Two bits and the low bits for each number, and the samples.
+            assert len(coded.low) + len(coded.high) <= n * (coded.low_bits + 3.5) / 8 + 2
+    with pytest.raises(IndexError):
+        EliasFano.of(np.array([], np.uint64)).select(0)
+
+
+def test_a_gap_of_many_zero_bytes():
+    values = [0] * 10 + [100_000] * 3 + [100_001]
+    coded = EliasFano.of(np.array(values))
+    assert [coded.select(i) for i in range(len(values))] == values
+
+
+def stored(spark, tmp_path, frame, **settings):
+    folder = str(tmp_path / "store")
+    token_store.write(frame, folder, FILE, **settings)
+    found = token_store.read_documents(spark, folder)
+    return folder, token_store.with_starts(spark, folder, found).orderBy("start").collect()
+
+
+def test_whole_store(spark, docs, tmp_path):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, rng.randint(-2**62, 2**62), 7]),
+             rng.choice([None, "", "Some words here", "word " * rng.randint(1, 400)])) for _ in range(300)]
+    rows.append((9, "very long " * 40_000))
+    frame = docs(rows).withColumn("key", F.lit(1)).withColumn("shard", F.lit(2)) \
+        .withColumnRenamed("source", "Doc_Id").repartition(5)
+    folder, got = stored(spark, tmp_path, frame, block_tokens=500)
+    library = Tokenizer.from_file(FILE)
+    want = sorted(((k is not None, k or 0),
+                   [*library.encode(t or "", add_special_tokens=False).ids, 0]) for k, t in rows)
+    assert [(r["doc_id"] is not None, r["doc_id"] or 0) for r in got] == [k for k, _ in want]
+    assert sorted(((r["doc_id"] is not None, r["doc_id"] or 0), np.frombuffer(r["ids"], "<u4").tolist())
+                  for r in got) == want
+    total = 0
+    for row in got:
+        assert row["start"] == total and row["n_tokens"] == len(row["ids"]) // 4
+        total += row["n_tokens"]
+    blocks = spark.read.parquet(folder)
+    assert blocks.count() > 20
+    row = blocks.where("n_docs > 3").first().asDict()
+    ends, _ = token_store.boundaries(row)
+    assert ends.select(row["n_docs"] - 1) == row["n_tokens"]
+
+
+def test_empty_table(spark, docs, tmp_path):
+    assert stored(spark, tmp_path, docs([]))[1] == []
+
+
+def test_query_on_the_table(spark, sf):
+    from panelyard.llm.queries import QUERIES
+
+    library = Tokenizer.from_file(FILE)
+    start = 0
+    got = QUERIES["op2_token_store"](spark, sf).orderBy("doc_id").collect()
+    table = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    assert len(got) == len(table)
+    for row, doc in zip(got, table):
+        ids = [*library.encode(doc["text"] or "", add_special_tokens=False).ids, 0]
+        assert row == (doc["doc_id"], start, len(ids),
+                       zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
