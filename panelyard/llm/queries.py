@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, quality_rules, token_store
+from panelyard.llm import bpe, packing, quality_rules, token_store
 from panelyard.llm.frames import documents
 from panelyard.session import scratch_path
 
@@ -34,8 +34,15 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset", "loss_tokens", "padded_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe": op5_bpe,
+    "op9_packing": op9_packing,
 }
