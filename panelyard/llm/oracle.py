@@ -5,6 +5,15 @@ Nothing is taken from the operators: bounds and words are written out here again
 
 from __future__ import annotations
 
+OP3 = r"""
+WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
+  FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW same AS (PARTITION BY norm)
+"""
+
 OP4 = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 parts AS (
@@ -48,5 +57,6 @@ le la les de et un une du que qui en pour dans est au pas par sur avec ce il ell
 el los las y se del con una su para es al lo como por no""".split()))
 
 ORACLE: dict[str, str] = {
+    "op3_exact_dedup": OP3,
     "op4_quality_rules": OP4,
 }

@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, packing, quality_rules, token_store
+from panelyard.llm import bpe, exact_dedup, language_id, packing, quality_rules, token_store
 from panelyard.llm.frames import documents
 from panelyard.session import scratch_path
 
@@ -22,6 +22,11 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.deduplicated(documents(spark, sf_dir), scratch_path(spark, "exact_dedup"), files=True)
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -34,6 +39,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.train_and_predict(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=2)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
@@ -42,7 +51,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
+    "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe": op5_bpe,
+    "op6_language_id": op6_language_id,
     "op9_packing": op9_packing,
 }
