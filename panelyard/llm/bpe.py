@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -29,28 +29,11 @@ import regex
 from pyspark.sql import DataFrame
 
 from panelyard.llm.frames import pick
-from panelyard.llm.units import Memory, Units
+from panelyard.llm.units import KEPT_CHARS, Units
+from panelyard.llm.words import BYTE_OF, TextTreatment
 
 
-def byte_letters() -> list[str]:
-    """The visible character that stands for each byte.
-
-    Printable Latin-1 characters stand for themselves; the other bytes, in order, get
-    the characters from 256 on.
-    """
-    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    spare = iter(range(256, 512))
-    return [chr(b if b in own else next(spare)) for b in range(256)]
-
-
-LETTERS = byte_letters()
-BYTE_OF = {c: b for b, c in enumerate(LETTERS)}
-
-# Fixed patterns of the two kinds of tokenizers.
-SPACED_WORDS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
-BARE_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+KNOWN_WORDS = 500_000
 
 
 class Bpe:
@@ -64,27 +47,20 @@ class Bpe:
         for rank, (a, b) in enumerate(pairs):
             self.merges[self.vocabulary[a], self.vocabulary[b]] = rank, self.vocabulary[a + b]
         self.end_mark = model["end_of_word_suffix"] or ""
-        self.lowers = config["normalizer"] is not None
+        self.treatment = TextTreatment.of(path)
+        if self.treatment is None:
+            raise ValueError(f"{path}: neither kind of tokenizer that is supported")
         self.special = {t["content"]: t["id"] for t in config["added_tokens"]}
         self.strings = {i: s for s, i in self.vocabulary.items()} | {
             i: s for s, i in self.special.items()}
         self.joins_bytes = config["decoder"] is not None
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") \
             if self.special else None
-        self.known = Memory(self.merged, 1_000_000)
-
-    def words(self, text: str) -> Iterable[str]:
-        """Normalised words of a text without special tokens."""
-        if not self.lowers:
-            return SPACED_WORDS.findall(text)
-        if text.isascii():
-            return BARE_WORDS.findall(text.lower())
-        # Letter by letter: a final sigma is lower-cased like any other.
-        return BARE_WORDS.findall("".join(map(str.lower, unicodedata.normalize("NFC", text))))
+        self.known: dict[str, list[int]] = {}
 
     def merged(self, word: str) -> list[int]:
         """The ids of one word."""
-        letters = [LETTERS[b] for b in word.encode()]
+        letters = list(self.treatment.letters(word))
         letters[-1] += self.end_mark
         ids = [self.vocabulary[c] for c in letters if c in self.vocabulary]
         before = list(range(-1, len(ids) - 1))
@@ -114,14 +90,25 @@ class Bpe:
                 offer(before[i], i)
         return [x for x, there in zip(ids, alive) if there]
 
+    def word_ids(self, word: str) -> list[int]:
+        """``merged``, remembered for short words."""
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.merged(word)
+            if len(word) <= KEPT_CHARS:
+                if len(self.known) >= KNOWN_WORDS:
+                    self.known.clear()
+                self.known[word] = ids
+        return ids
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
         for part in self.specials.split(text) if self.specials else [text]:
             if part in self.special:
                 out.append(self.special[part])
             else:
-                for word in self.words(part):
-                    out += self.known[word]
+                for word in self.treatment.words(part):
+                    out += self.word_ids(word)
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -144,19 +131,20 @@ def _units(path: str) -> tuple[Bpe, Units[tuple[bytes, str]]]:
 
     def unit(piece: str) -> tuple[bytes, str]:
         ids = bpe.encode(piece)
-        return np.array(ids, "<u4").tobytes(), "" if bpe.joins_bytes else bpe.decode(ids)
+        return array("I", ids).tobytes(), "" if bpe.joins_bytes else bpe.decode(ids)
 
-    return bpe, Units(unit)
+    return bpe, Units(unit, limit=500_000)
 
 
-def encode_and_decode(path: str, text: str) -> tuple[bytes, str]:
+def encode_and_decode(path: str, texts: pa.Array) -> Iterator[tuple[bytes, str]]:
     """Ids as little-endian 32-bit numbers, and the text decoded from them."""
     bpe, units = _units(path)
-    found = list(units.of(text))
-    ids = b"".join([i for i, _ in found])
-    if bpe.joins_bytes:  # a character's bytes may be in two tokens, so not by piece
-        return ids, bpe.decode(np.frombuffer(ids, "<u4").tolist())
-    return ids, " ".join([s for _, s in found if s])
+    for found in units.of_column(texts):
+        ids = b"".join([i for i, _ in found])
+        if bpe.joins_bytes:  # a character's bytes may be in two tokens, so not by piece
+            yield ids, bpe.decode(np.frombuffer(ids, "<u4").tolist())
+        else:
+            yield ids, " ".join([s for _, s in found if s])
 
 
 BATCH_BYTES = 16 << 20
@@ -174,9 +162,9 @@ def encoded(documents: DataFrame, path: str, id_col: str = "doc_id",
             keys = batch.column(0)
             own = schema.set(0, pa.field(id_col, keys.type))
             start, held, out = 0, 0, []
-            for text in batch.column(1):
-                out.append(encode_and_decode(path, text.as_py() or ""))
-                held += len(out[-1][0]) + len(out[-1][1])
+            for both in encode_and_decode(path, batch.column(1)):
+                out.append(both)
+                held += len(both[0]) + len(both[1])
                 if held >= BATCH_BYTES:
                     yield _batch(own, keys.slice(start, len(out)), out)
                     start, held, out = start + len(out), 0, []

@@ -26,6 +26,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -249,10 +250,9 @@ def packed(documents: DataFrame, tokenizer: str, end_id: int, limits: Limits = L
         packer, kind = _Packer(limits, TaskContext.get().partitionId()), pa.null()
         for batch in batches:
             kind = batch.column(0).type
-            prompts = batch.column(2) if batch.num_columns > 2 else [None] * batch.num_rows
-            for key, text, prompt in zip(batch.column(0), batch.column(1), prompts):
-                before = library_ids(tokenizer, prompt.as_py() or "") if prompt is not None else b""
-                after = library_ids(tokenizer, text.as_py() or "")
+            encoded = [library_ids(tokenizer, column) for column in batch.columns[1:]]
+            prompts = encoded[1] if prompt_col else repeat(b"")
+            for key, after, before in zip(batch.column(0), encoded[0], prompts):
                 packer.add(key.as_py(), before + after + end, len(before) // 4)
                 if packer.full:
                     yield from packer.flush(False, kind)

@@ -147,9 +147,10 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
         ids: list[bytes] = []
         held = 0
         for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1)):
+            encoded = library_ids(tokenizer, batch.column(1))
+            for key, own in zip(batch.column(0), encoded):
                 keys.append(key.as_py())
-                ids.append(library_ids(tokenizer, text.as_py()) + end)
+                ids.append(own + end)
                 held += len(ids[-1]) // 4
                 if held >= block_tokens:
                     yield _block(shard, number, keys, ids, width)

@@ -1,21 +1,25 @@
 """Token ids of whole texts, put together from remembered pieces.
 
 A tokenizer that splits at white space never forms a token over the boundary before
-a space that a visible character follows. Texts are therefore encoded piece by
-piece at such spaces, and pieces seen before are looked up: prose repeats its words.
-Pieces with other white space in them are encoded as they are, so every text gets
-exactly the ids of the whole.
+a space that a visible character follows. Texts are therefore cut at such spaces,
+each distinct piece of many texts is encoded once, and pieces seen before are looked
+up: prose repeats its words. Pieces with other white space in them stay whole, so every
+text gets exactly the ids of the whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import Generic, TypeVar
 
-import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from panelyard.llm.words import TextTreatment
 
 T = TypeVar("T")
 
@@ -23,14 +27,15 @@ T = TypeVar("T")
 _OTHER_SPACE = re.compile(r" (?![!-~]|[^\W_])")
 _VISIBLE = re.compile(r"[!-~]|[^\W_]")
 
+CHUNK_BYTES = 1 << 23
+KEPT_CHARS = 64  # longer pieces hardly come again
+
 
 def pieces(text: str) -> list[str]:
     """The text cut before single spaces; each piece but the first lost that space."""
-    parts = text.split(" ")
-    if not _OTHER_SPACE.search(text):
-        return parts
-    out = parts[:1]
-    for part in parts[1:]:
+    first, *rest = text.split(" ")
+    out = [first]
+    for part in rest:
         if _VISIBLE.match(part):
             out.append(part)
         else:
@@ -38,52 +43,101 @@ def pieces(text: str) -> list[str]:
     return out
 
 
-class Memory(dict, Generic[T]):
-    """Remembers up to ``limit`` results, then starts anew; long keys are not kept."""
-
-    def __init__(self, work: Callable[[str], T], limit: int, longest: int = 64):
-        super().__init__()
-        self.work, self.limit, self.longest = work, limit, longest
-
-    def __missing__(self, key: str) -> T:
-        value = self.work(key)
-        if len(key) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
-            self[key] = value
-        return value
+def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
+    """Slices of a string column with about so many bytes, or one longer text."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy().tolist()
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= most:
+            yield column.slice(start, i + 1 - start)
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield column.slice(start)
 
 
 class Units(Generic[T]):
-    """What ``encode`` gives for each piece of a text, in order."""
-
-    def __init__(self, encode: Callable[[str], T], limit: int = 1_000_000):
-        self.first = Memory(encode, limit // 10)
-        self.later = Memory(lambda piece: encode(f" {piece}"), limit)
-
-    def of(self, text: str) -> Iterator[T]:
-        if not text:
-            return
-        head, *rest = pieces(text)
-        yield self.first[head]
-        yield from map(self.later.__getitem__, rest)
-
+    """What ``encode`` gives for the pieces of texts, remembered for up to ``limit`` pieces."""
+
+    def __init__(self, encode: Callable[[str], T], limit: int = 800_000):
+        self.encode, self.limit = encode, limit
+        self.known: dict[str, T] = {}
+
+    def get(self, piece: str) -> T:
+        """For a piece behind a space that it lost."""
+        value = self.known.get(piece)
+        if value is None:
+            value = self.encode(f" {piece}")
+            if len(piece) <= KEPT_CHARS:
+                self.known[piece] = value
+        return value
 
-@lru_cache(maxsize=4)
-def library_units(path: str) -> Units[bytes]:
-    """Ids of the tokenizers library as little-endian 32-bit numbers, by piece."""
+    def of_column(self, column: pa.Array) -> Iterator[list[T]]:
+        """For each text what its pieces give, in order; nothing for a null."""
+        for chunk in chunks(column):
+            if len(self.known) > self.limit:
+                self.known.clear()
+            texts = chunk.to_numpy(zero_copy_only=False).tolist()
+            plain = [bool(t) and not _OTHER_SPACE.search(t) for t in texts]
+            parts = pc.split_pattern(pc.if_else(pa.array(plain, pa.bool_()), chunk, ""), " ")
+            coded = parts.flatten().dictionary_encode()
+            values = list(map(self.get, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+            places = coded.indices.to_numpy().tolist()
+            stops = pc.cumulative_sum(pc.list_value_length(parts)).to_numpy().tolist()
+            for text, is_plain, start, stop in zip(texts, plain, [0, *stops], stops):
+                if not text:
+                    yield []
+                elif is_plain:
+                    head = text[:text.find(" ")] if " " in text else text
+                    yield [self.encode(head), *[values[i] for i in places[start + 1:stop]]]
+                else:
+                    head, *rest = pieces(text)
+                    yield [self.encode(head), *map(self.get, rest)]
+
+
+KNOWN_WORDS = 800_000
+
+
+def _library_encode(path: str) -> Callable[[str], bytes]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    treatment = TextTreatment.of(path)
+
+    def whole(piece: str) -> bytes:
+        return array("I", tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    if treatment is None:
+        return whole
+    model, known = tokenizer.model, {}
+
+    def by_word(piece: str) -> bytes:
+        """The library's model for each distinct word, whose ids do not depend on others."""
+        if treatment.holds_special(piece):
+            return whole(piece)
+        out = []
+        for word in treatment.words(piece):
+            ids = known.get(word)
+            if ids is None:
+                ids = array("I", [t.id for t in model.tokenize(treatment.letters(word))]).tobytes()
+                if len(word) <= KEPT_CHARS:
+                    if len(known) >= KNOWN_WORDS:
+                        known.clear()
+                    known[word] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    return by_word
 
-    def encode(piece: str) -> bytes:
-        return np.array(tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
-    return Units(encode)
+@lru_cache(maxsize=4)
+def _library_units(path: str) -> Units[bytes]:
+    return Units(_library_encode(path))
 
 
-def library_ids(path: str, text: str) -> bytes:
-    return b"".join(library_units(path).of(text))
+def library_ids(path: str, column: pa.Array) -> Iterator[bytes]:
+    """Ids of the tokenizers library for each text, as little-endian 32-bit numbers."""
+    return map(b"".join, _library_units(path).of_column(column))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -27,10 +28,10 @@ def test_odd_texts_like_the_library(file):
     for text in ODD + mixed:
         want = LIBRARY[file].encode(text, add_special_tokens=False).ids
         assert OWN[file].encode(text) == want, repr(text)
-        ids, decoded = bpe.encode_and_decode(path(file), text)
+        [(ids, decoded)] = bpe.encode_and_decode(path(file), pa.array([text]))
         assert ids == b"".join(i.to_bytes(4, "little") for i in want), repr(text)
         assert decoded == LIBRARY[file].decode(want, skip_special_tokens=False), repr(text)
-        assert units.library_ids(path(file), text) == ids, repr(text)
+        assert [*units.library_ids(path(file), pa.array([text]))] == [ids], repr(text)
 
 
 @settings(max_examples=300, deadline=None)
@@ -39,14 +40,23 @@ def test_odd_texts_like_the_library(file):
 def test_any_text_like_the_library(text):
     for file in FILES:
         want = LIBRARY[file].encode(text, add_special_tokens=False).ids
-        assert units.library_ids(path(file), text) == b"".join(i.to_bytes(4, "little") for i in want)
+        assert [*units.library_ids(path(file), pa.array([text]))] == [b"".join(i.to_bytes(4, "little") for i in want)]
         assert OWN[file].encode(text) == want
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_many_texts_at_once(file):
+    texts = ODD + [" ".join(ODD), "", "<|endoftext|>", "a<|endoftext|> <|endoftext|>b"]
+    want = [b"".join(i.to_bytes(4, "little") for i in LIBRARY[file].encode(t, add_special_tokens=False).ids)
+            for t in texts]
+    assert [*units.library_ids(path(file), pa.array(texts))] == want
+    assert [ids for ids, _ in bpe.encode_and_decode(path(file), pa.array(texts))] == want
+
+
 def test_forgetting_changes_nothing():
-    small = units.Units(lambda p: p, limit=20)
-    text = " ".join(f"w{i % 37}" for i in range(500))
-    assert "".join(small.of(text)) == text
+    small = units.Units(str, limit=20)
+    texts = [" ".join(f"w{i % 37}" for i in range(k, 500)) for k in range(30)] + ["", " ", "  a", " a" * 100]
+    assert ["".join(found) for found in small.of_column(pa.array(texts))] == texts
 
 
 def test_query_rows(docs):
