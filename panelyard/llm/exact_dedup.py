@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm.frames import SPACE_RUN, or_empty, pick
+from panelyard.llm.frames import SPACE_RUN, at, named, numbered, or_empty, pick
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LOCATOR = ["file", "row"]
@@ -58,16 +58,10 @@ class ExactDedup:
 
     def located(self, documents: DataFrame) -> DataFrame:
         """Id, text and locator; ``documents`` must be a plain scan of files."""
-        place = documents.metadataColumn("_metadata")
-        with_place = documents.select("*", place.getField("file_path").alias("file"),
-                                      place.getField("row_index").alias("row"))
-        # By place in the list: other columns may have any name.
-        plain = with_place.toDF(*[f"c{i}" for i in range(len(with_place.columns))])
-        names = documents.columns
-        return plain.select(
-            F.col(f"c{names.index(self.id_col)}").alias("id"),
-            F.col(f"c{names.index(self.text_col)}").alias("text"),
-            F.col(f"c{len(names)}").alias("file"), F.col(f"c{len(names) + 1}").alias("row"))
+        plain = numbered(documents)
+        place = plain.metadataColumn("_metadata")
+        return plain.select(at(documents, self.id_col).alias("id"), at(documents, self.text_col).alias("text"),
+                            place.getField("file_path").alias("file"), place.getField("row_index").alias("row"))
 
     def copied(self, documents: DataFrame) -> DataFrame:
         """The needed columns of any table, written to the folder to have locators."""
@@ -140,12 +134,12 @@ class ExactDedup:
 
     def survivors(self, documents: DataFrame) -> DataFrame:
         """``documents``, all columns, without the copies."""
-        dropped = self.decisions(documents).where(~F.col("kept")).select(
-            *[F.col(x).alias(f"_dropped_{x}") for x in LOCATOR])
-        place = documents.metadataColumn("_metadata")
-        return documents.join(
-            dropped, (place.getField("file_path") == F.col("_dropped_file"))
-            & (place.getField("row_index") == F.col("_dropped_row")), "left_anti")
+        dropped = self.decisions(documents).where(~F.col("kept")).select(*LOCATOR)
+        plain = numbered(documents)
+        place = plain.metadataColumn("_metadata")
+        left = plain.join(dropped, (place.getField("file_path") == F.col("file"))
+                          & (place.getField("row_index") == F.col("row")), "left_anti")
+        return named(left, documents)
 
 
 def deduplicated(documents: DataFrame, folder: str, files: bool = False, **names: str) -> DataFrame:

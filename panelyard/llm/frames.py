@@ -18,8 +18,22 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     Other columns may repeat these names, or differ from them only in case; the
     first exact match counts.
     """
-    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"c{df.columns.index(n)}").alias(n) for n in names])
+    return numbered(df).select(*[at(df, n).alias(n) for n in names])
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1, ...: nothing that is joined to it can clash."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def named(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The numbered columns of ``df`` under the names that they have in ``like``."""
+    return df.select(*[f"c{i}" for i in range(len(like.columns))]).toDF(*like.columns)
+
+
+def at(df: DataFrame, name: str) -> Column:
+    """A column's place among the numbered ones."""
+    return F.col(f"c{df.columns.index(name)}")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

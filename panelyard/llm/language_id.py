@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelyard.llm.frames import pick
+from panelyard.llm.frames import named, numbered, pick
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -205,6 +205,20 @@ def predict(documents: DataFrame, prototypes: Prototypes, id_col: str = "doc_id"
         .select(F.col("key").alias(id_col), "lang_pred", "score")
 
 
+def recognised(documents: DataFrame, prototypes: Prototypes, text_col: str = "text") -> DataFrame:
+    """``documents``, all columns, without those whose language is ``und``."""
+    place = documents.columns.index(text_col)
+    plain = numbered(documents)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in _chunks(batch, place):
+                kept = [name != UNKNOWN for name in judge(texts, prototypes)[0]]
+                yield batch.slice(start, len(texts)).filter(pa.array(kept, pa.bool_()))
+
+    return named(plain.mapInArrow(run, plain.schema), documents)
+
+
 FOLDS = 5
 
 
