@@ -1,0 +1,56 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from panelyard.llm import lm_scoring
+
+
+def words_of(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return [w for w in low.replace("\t", " ").replace("\n", " ").split(" ") if w]
+
+
+def by_hand(rows, order=3):
+    docs = [words_of(t) for _, t in rows]
+    grams = [Counter(tuple(d[i:i + n]) for n in range(1, order + 1) for i in range(len(d) - n + 1)) for d in docs]
+    total = sum(grams, Counter())
+    n_words = sum(map(len, docs))
+    out = []
+    for (key, _), d, own in zip(rows, docs, grams):
+        other = lambda g: total[g] - own[g]
+        log, used = 0.0, [0] * order
+        for i in range(len(d)):
+            top = min(i + 1, order)
+            size = next((n for n in range(top, 1, -1) if other(tuple(d[i - n + 1:i + 1])) > 0), 1)
+            gram = tuple(d[i - size + 1:i + 1])
+            value = other(gram) / other(gram[:-1]) if size > 1 else max(1, other(gram)) / (n_words - len(d) + 1)
+            log += math.log(value) + (top - size) * math.log(lm_scoring.BACKOFF)
+            used[size - 1] += 1
+        out.append((key, len(d), *used, log if d else None))
+    return out
+
+
+def rounded(rows):
+    return sorted(((*r[:-1], None if r[-1] is None else round(r[-1], 6)) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("order,batch", [(3, 1 << 20), (3, 300), (2, 1000), (1, 200), (4, 500)])
+def test_brute_force(docs, order, batch):
+    rng = random.Random(order)
+    texts = [None, "", " \n", "alone", "the cat sat", "The Cat sat", "the cat sat", "a b", "a"] + [
+        " ".join(rng.choice("abcdef") for _ in range(rng.randint(0, 50))) for _ in range(60)]
+    rows = list(enumerate(texts)) + [(None, "a b c"), (5, "a b c"), (5, "a b c")]
+    frame = docs(rows).withColumn("raw", F.lit("x")).withColumn("batch", F.lit(0)).withColumnRenamed("lang", "Text")
+    got = lm_scoring.scored(frame.repartition(3), order, batch_bytes=batch).collect()
+    assert rounded(map(tuple, got)) == rounded(by_hand(rows, order))
+
+
+def test_empty_table_one_document_and_long_text(docs):
+    assert lm_scoring.scored(docs([])).count() == 0
+    rows = [(1, "only words of its own")]
+    assert rounded(map(tuple, lm_scoring.scored(docs(rows)).collect())) == rounded(by_hand(rows))
+    rows = [(1, "tick tock " * 40_000), (2, "tick tock tack")]
+    assert rounded(map(tuple, lm_scoring.scored(docs(rows)).collect())) == rounded(by_hand(rows))
