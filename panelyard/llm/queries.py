@@ -8,11 +8,26 @@ from public_tokenizers import path as tokenizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, exact_dedup, language_id, packing, quality_rules, token_store
+from panelyard.llm import (
+    bpe,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    lm_scoring,
+    packing,
+    quality_rules,
+    secret_scan,
+    site_quality,
+    token_store,
+)
 from panelyard.llm.frames import documents
 from panelyard.session import scratch_path
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 4))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token_store")
     token_store.write(documents(spark, sf_dir), folder, tokenizer("byte_bpe_50k.json"), end_id=0)
@@ -43,17 +58,37 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.train_and_predict(documents(spark, sf_dir))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir), per_cent=90, size=3).select(
+        "doc_id", "n_shingles", "component_id")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir)).drop("text_hash")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"), end_id=2)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset", "loss_tokens", "padded_to")
 
 
+def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its source, its path there the language, as in the URLs of pages."""
+    placed = documents(spark, sf_dir).withColumn("path", F.concat_ws("/", "source", "lang"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return site_quality.scored(placed, labels, host_col="source", path_col="path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_token_store": op2_token_store,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_bpe": op5_bpe,
     "op6_language_id": op6_language_id,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
+    "op10_site_quality": op10_site_quality,
 }
