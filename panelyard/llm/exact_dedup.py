@@ -32,7 +32,13 @@ from pyspark.sql import functions as F
 
 from panelyard.llm.frames import SPACE_RUN, at, named, numbered, or_empty, pick
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore"
+STATE_CONF = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # A batch uploads its changes only, and files take no more room than they fill.
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
+}
 LOCATOR = ["file", "row"]
 
 
@@ -76,7 +82,8 @@ class ExactDedup:
         prints = rows.select("id", self.digest(normalised(F.col("text"))).alias("digest"), *LOCATOR)
         path = f"{self.folder}/fingerprints"
         prints.write.mode("append").parquet(path)
-        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        for name, value in STATE_CONF.items():
+            self.spark.conf.set(name, value)
         first = F.struct(F.col("id").isNull().alias("no_id"), "id", *LOCATOR)
         (self.spark.readStream.schema(prints.schema).parquet(path)
          .groupBy("digest").agg(F.min(first).alias("first"), F.count("*").alias("n"))
