@@ -33,12 +33,13 @@ from panelyard.session import staged
 
 ORDER = 3
 BACKOFF = 0.4
+PART_BYTES = 1 << 20  # of text hashed at a time
 
 
 def grams_of(column: pa.ChunkedArray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Per size from 1 to ``order`` the n-gram hashes of all texts, and the words of each text."""
     hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    for part in chunks(column.combine_chunks()):
+    for part in chunks(column.combine_chunks(), PART_BYTES):
         h, c = word_hashes(part)
         hashes.append(h)
         counts.append(c)

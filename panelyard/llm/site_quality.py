@@ -41,6 +41,7 @@ from panelyard.session import staged
 FEATURES = ["words", "word_length", "symbols", "bars", "exclamations", "digits", "capitals", "lines",
             "stop_words", "distinct_words", "repeated_windows"]
 TRAIN_ROWS = 50_000
+PART_BYTES = 1 << 20  # of text looked at at a time
 SEED_STRENGTH = 1e6  # prior weight where groups do not differ at all
 LEAST_STRENGTH = 1.0
 
@@ -91,7 +92,7 @@ def with_features(documents: DataFrame, id_col: str, text_col: str, host_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             start = 0
-            for part in chunks(batch.column(3)):
+            for part in chunks(batch.column(3), PART_BYTES):
                 found = features_of(part)
                 yield pa.record_batch([c.slice(start, len(part)) for c in batch.columns[:3]]
                                       + [pa.array(x, pa.float64()) for x in found.T],

@@ -28,6 +28,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_SPAN_BITS = 18  # bytes whose running sums are held at a time
+
+
 @lru_cache(maxsize=2)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     n = 1 << bits
@@ -37,6 +40,24 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+def _polynomials(raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The polynomial of each word's bytes; works through the words span by span."""
+    out = np.empty(len(first), np.uint64)
+    a = 0
+    while a < len(first):
+        # As many words as a span holds, or one longer word.
+        b = max(a + 1, int(np.searchsorted(last, first[a] + (1 << _SPAN_BITS))))
+        start = first[a]
+        span = raw[start:last[b - 1] + 1]
+        up, down = _powers(max(_SPAN_BITS, int(len(span) - 1).bit_length()))
+        sums = np.zeros(len(span) + 1, np.uint64)
+        np.cumsum(_BYTES[span] * up[:len(span)], out=sums[1:])
+        left = first[a:b] - start
+        out[a:b] = (sums[last[a:b] - start + 1] - sums[left]) * down[left]
+        a = b
+    return out
+
+
 def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a string column, and the number of words of each text."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -55,10 +76,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     after = np.concatenate([in_word[1:], [False]]) & ~edge[1:]
     first = np.flatnonzero(in_word & ~before)
     last = np.flatnonzero(in_word & ~after)
-    up, down = _powers(max(23, len(raw).bit_length()))
-    sums = np.cumsum(_BYTES[raw] * up[:len(raw)], dtype=np.uint64)
-    own = sums[last] - np.where(first > 0, sums[first - 1], np.uint64(0))
-    hashes = mix(own * down[first] + (last - first).astype(np.uint64))
+    hashes = mix(_polynomials(raw, first, last) + (last - first).astype(np.uint64))
     words = np.searchsorted(first, ends)
     return hashes, np.diff(words)
 
