@@ -71,29 +71,25 @@ def only_ids_off_status(df: DataFrame, spec: PanelSpec, keep: Sequence[str] = ()
 
 def unique_items(raw: DataFrame, spec: PanelSpec, order: Sequence[str]) -> DataFrame:
     """Raw rows to typed items, one per id. Rows off status keep only key, order
-    and status."""
-    slim = only_ids_off_status(drop_dead_columns(raw), spec, order)
-    return typed(first_per_key(slim, [spec.columns.item_id], order), spec)
-
+    and status.
 
-def to_items(raw: DataFrame, spec: PanelSpec, order: Sequence[str]) -> DataFrame:
-    """Raw rows to typed items: dedup, then typing, then the status filter.
-
-    The status filter comes after the dedup on purpose: an id whose first copy
-    is off-status is gone even if a later copy is not.
+    The status filter comes after this on purpose: an id whose first copy is off
+    status is gone even if a later copy is not.
     """
-    return with_status(unique_items(raw, spec, order), spec)
+    slim = only_ids_off_status(drop_dead_columns(raw), spec, order)
+    return typed(first_per_key(slim, [spec.columns.item_id], order), spec)
 
 
 def matching(df: DataFrame, filters: Mapping[str, object]) -> DataFrame:
-    """Equality filters, combined; none means no restriction."""
-    tests = [F.col(name) == F.lit(value) for name, value in filters.items() if value]
+    """Equality filters, combined; None or an empty text means no restriction."""
+    tests = [F.col(name) == F.lit(value) for name, value in filters.items()
+             if value is not None and value != ""]
     return df.where(reduce(lambda a, b: a & b, tests)) if tests else df
 
 
 def since(df: DataFrame, moment: str, end: Column, days: int) -> DataFrame:
-    """Rows no older than ``days`` days before ``end``."""
-    return df.where(F.col(moment) >= F.date_sub(end, days))
+    """Rows of the ``days`` days before ``end``; that day itself is not one of them."""
+    return df.where((F.col(moment) >= F.date_sub(end, days)) & (F.col(moment) < end))
 
 
 def flag_suspects(items: DataFrame, spec: PanelSpec) -> DataFrame:

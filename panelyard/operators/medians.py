@@ -10,21 +10,10 @@ from pyspark.sql import functions as F
 from panelyard.session import staged
 
 
-def exact_medians(df: DataFrame, key: Sequence[str], values: Sequence[str],
-                  largest_group: int, limit: int) -> DataFrame:
+def exact_medians(df: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Median of each value column per key, nulls skipped, even counts averaged.
 
-    ``largest_group`` is a bound on the rows of one key. Up to ``limit`` the
-    built-in aggregate is used, which buffers a group's distinct values in one
-    task; a larger group is ranked across many tasks instead.
-    """
-    if largest_group <= limit:
-        return df.groupBy(*key).agg(*[F.median(v).alias(v) for v in values])
-    return _ranked_medians(df, list(key), list(values))
-
-
-def _ranked_medians(df: DataFrame, key: list[str], values: list[str]) -> DataFrame:
-    """Medians by rank over a range-partitioned table.
+    Medians by rank over a range-partitioned table, so no group has to fit into a task:
 
     1. Count equal values, which also shrinks hot values on the map side.
     2. Range-partition by (key, column, value): a hot group spreads over as many
@@ -33,6 +22,7 @@ def _ranked_medians(df: DataFrame, key: list[str], values: list[str]) -> DataFra
     3. The sizes of the parts give the rank at which each part of a group
        starts; only the parts that hold a middle rank are read again.
     """
+    key, values = list(key), list(values)
     pairs = F.array(*[F.struct(F.lit(v).alias("_column"), F.col(v).alias("_value"))
                       for v in values])
     group = [*key, "_column"]

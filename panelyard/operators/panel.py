@@ -14,9 +14,6 @@ from panelyard.spec import NO_CLASS, OTHER_CLASSES, PanelSpec
 PERIOD = "semana"
 CLASS = "classe"
 
-# Rows of a (class code) table that may be broadcast: a few megabytes.
-BROADCAST_ROWS = 100_000
-
 # What a cell without purchases holds: nothing was bought, so these are zero.
 # Medians stay null, because there was no price to observe.
 _ZERO_WHEN_EMPTY = ["valor_total", "n_itens", "qtd_total", "valor_estimado_total",
@@ -54,17 +51,14 @@ def top_classes(items: DataFrame, spec: PanelSpec) -> DataFrame:
 def with_reduced_class(items: DataFrame, spec: PanelSpec) -> DataFrame:
     """Adds ``classe``: a top class, the bucket of the rest, or that of no class.
 
-    The table of top classes has at most ``top_classes`` rows by construction;
-    up to a size that fits anywhere it is broadcast and the items are not
-    shuffled.
+    The table of top classes is written, so the optimizer knows its size and
+    broadcasts it below its own limit; beyond, items are shuffled by class.
     """
     code = F.col(spec.columns.class_code)
-    top = top_classes(items, spec).select(F.col("codigo").alias("_top"))
+    top = staged(top_classes(items, spec).select(F.col("codigo").alias("_top")), "top_classes")
     label = (F.when(code.isNull(), F.lit(NO_CLASS))
              .when(F.col("_top").isNotNull(), code)
              .otherwise(F.lit(OTHER_CLASSES)))
-    if spec.top_classes <= BROADCAST_ROWS:
-        top = F.broadcast(top)
     return (items.join(top, code == F.col("_top"), "left")
             .withColumn(CLASS, label).drop("_top"))
 
@@ -74,15 +68,18 @@ def with_period(items: DataFrame, spec: PanelSpec) -> DataFrame:
     return items.withColumn(PERIOD, start)
 
 
-def panel_cells(items: DataFrame, spec: PanelSpec, rows: int | None = None) -> DataFrame:
+def panel_cells(items: DataFrame, spec: PanelSpec) -> DataFrame:
     """Aggregates items to the cells in which something was bought.
 
-    ``items`` is read more than once, so it should be a table. Items without a
-    period or kind belong to no cell. ``rows`` bounds the size of a cell.
+    ``items`` is read twice, for the top classes and to be keyed, so it should be a
+    table. The keyed items are written once, narrow, for totals and medians. Items
+    without a period or kind belong to no cell.
     """
     roles = spec.columns
     key = panel_key(spec)
-    keyed = with_period(with_reduced_class(items, spec), spec).dropna(subset=key)
+    keyed = staged(with_period(with_reduced_class(items, spec), spec).dropna(subset=key).select(
+        *key, roles.awarded, roles.quantity, roles.estimated, roles.unit_estimate, roles.supplier,
+        roles.organ), "keyed_items")
     totals = keyed.groupBy(*key).agg(
         scalars.money_sum(F.col(roles.awarded), spec.sum_scale).alias("valor_total"),
         F.count(F.lit(1)).alias("n_itens"),
@@ -91,12 +88,7 @@ def panel_cells(items: DataFrame, spec: PanelSpec, rows: int | None = None) -> D
         F.count_distinct(roles.supplier).alias("n_fornecedores"),
         F.count_distinct(roles.organ).alias("n_orgaos"),
     )
-    largest = items.count() if rows is None else rows
-    if largest > spec.exact_group_rows:
-        totals = staged(totals, "cell_totals")
-        largest = totals.agg(F.max("n_itens")).first()[0] or 0
-    middle = exact_medians(keyed, key, [roles.quantity, roles.unit_estimate],
-                           largest, spec.exact_group_rows)
+    middle = exact_medians(keyed, key, [roles.quantity, roles.unit_estimate])
     middle = (middle.withColumnRenamed(roles.quantity, "qtd_mediana")
               .withColumnRenamed(roles.unit_estimate, "preco_unitario_mediano"))
     return totals.join(middle, key, "left")
@@ -115,9 +107,9 @@ def complete_rectangle(cells: DataFrame, spec: PanelSpec) -> DataFrame:
     return grid.join(cells, panel_key(spec), "left").na.fill(0, _ZERO_WHEN_EMPTY)
 
 
-def to_panel(items: DataFrame, spec: PanelSpec, rows: int | None = None) -> DataFrame:
+def to_panel(items: DataFrame, spec: PanelSpec) -> DataFrame:
     """Items to the complete panel with the ratio of awarded to estimated value."""
-    cells = staged(panel_cells(items, spec, rows), "panel_cells")
+    cells = staged(panel_cells(items, spec), "panel_cells")
     panel = complete_rectangle(cells, spec).withColumn(
         "taxa_desconto", scalars.ratio(F.col("valor_total"), F.col("valor_estimado_total")))
     return panel.select(

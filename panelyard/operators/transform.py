@@ -17,34 +17,28 @@ from pyspark.sql import functions as F
 
 from panelyard.operators.features import categorical_features, numeric_features
 from panelyard.operators.medians import exact_medians
+from panelyard.session import staged
 from panelyard.spec import PanelSpec
 
 log = logging.getLogger("panelyard")
 
 
-class _Numeric(HasInputCols, HasOutputCol):
-    exactGroupRows = Param(Params._dummy(), "exactGroupRows",
-                           "rows up to which a median is taken in one task",
-                           typeConverter=TypeConverters.toInt)
-
-    def __init__(self):
-        super().__init__()
-        self._setDefault(outputCol="numeric", exactGroupRows=1_000_000)
-
-
-class ImputeAndScale(Estimator, _Numeric, DefaultParamsReadable, DefaultParamsWritable):
+class ImputeAndScale(Estimator, HasInputCols, HasOutputCol, DefaultParamsReadable,
+                     DefaultParamsWritable):
     """Fills missing numbers with the median, then scales to mean 0 and
     population deviation 1. Columns without any value are left out."""
 
     @keyword_only
-    def __init__(self, *, inputCols=None, outputCol=None, exactGroupRows=None):
+    def __init__(self, *, inputCols=None, outputCol=None):
         super().__init__()
+        self._setDefault(outputCol="numeric")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> ImputeAndScaleModel:
-        names, limit = self.getInputCols(), self.getOrDefault(self.exactGroupRows)
-        numbers = dataset.select(*[F.col(n).cast("double").alias(n) for n in names])
-        middle = exact_medians(numbers, [], names, numbers.count(), limit).first()
+        names = self.getInputCols()
+        # Written: the medians and the moments both read it.
+        numbers = staged(dataset.select(*[F.col(n).cast("double").alias(n) for n in names]), "numbers")
+        middle = exact_medians(numbers, [], names).first()
         present = [n for n in names if middle[n] is not None]
         if len(present) < len(names):
             log.warning("left out, no value to fit on: %s",
@@ -103,7 +97,6 @@ def one_hot_stages(columns: Sequence[str]) -> tuple[list, list[str]]:
 def build_transformer(spec: PanelSpec) -> Pipeline:
     """An unfitted pipeline that puts the declared features into ``features``."""
     stages, encoded = one_hot_stages(categorical_features(spec))
-    numeric = ImputeAndScale(inputCols=numeric_features(spec), outputCol="numeric",
-                             exactGroupRows=spec.exact_group_rows)
+    numeric = ImputeAndScale(inputCols=numeric_features(spec), outputCol="numeric")
     assembler = VectorAssembler(inputCols=["numeric", *encoded], outputCol="features")
     return Pipeline(stages=[numeric, *stages, assembler])

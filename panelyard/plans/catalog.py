@@ -11,7 +11,7 @@ from datetime import date, timedelta
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,12 +19,12 @@ from panelyard.functions import scalars
 from panelyard.functions.calendar import chunk_grid
 from panelyard.operators import checks, chunks, features, folds, items, panel, reports, transform
 from panelyard.plans.collect import collect
-from panelyard.plans.prepare import load_items
-from panelyard.plans.star import (FEED_ORDER, SPEC, kept_layer, raw_feed, table, typed_items,
-                                  unique_items, with_roles)
+from panelyard.plans.prepare import load_items, run_stages
+from panelyard.plans.star import (FEED_ORDER, SPEC, kept_layer, lines_first, raw_feed, table,
+                                  typed_items, unique_items, with_roles)
 from panelyard.session import scratch_path, staged
 from panelyard.sources import csv_items, landing, manifest, pages
-from panelyard.spec import CollectSpec
+from panelyard.spec import CollectSpec, Layers
 from panelyard.streaming import feed
 
 ROLES = SPEC.columns
@@ -91,7 +91,7 @@ def source_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Equality filters, the unset one left out, over a window of days."""
     narrowed = items.matching(raw_feed(spark, folder),
                               {ROLES.kind: "F", ROLES.status: "O", ROLES.class_code: None})
-    recent = items.since(narrowed, ROLES.included_at, F.lit(date(2001, 6, 30)), 365)
+    recent = items.since(narrowed, ROLES.included_at, F.lit(date(1995, 6, 30)), 365)
     return items.select_present(recent, [
         ROLES.item_id, ROLES.included_at, ROLES.kind, ROLES.status, ROLES.estimated, "absent"])
 
@@ -170,9 +170,9 @@ def panel_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def panel_ranked_medians(spark: SparkSession, folder: str) -> DataFrame:
-    """The weekly panel's cells with the medians taken by distributed rank."""
-    spread = dataclasses.replace(SPEC, exact_group_rows=1)
-    return panel.panel_cells(_panel_items(spark, folder), spread)
+    """The medians of the daily cells, taken by distributed rank as all of them are."""
+    cells = panel.panel_cells(_panel_items(spark, folder), for_freq("D"))
+    return cells.select(*panel.panel_key(SPEC), "n_itens", "qtd_mediana", "preco_unitario_mediano")
 
 
 @query
@@ -217,23 +217,26 @@ def features_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def annual_lag_coverage(spark: SparkSession, folder: str) -> DataFrame:
-    """How many rows of the weekly panel have a value for each lag."""
-    rows = features_weekly(spark, folder)
+    """How many rows of the weekly panel have a value for each lag, and which
+    annual lags have none."""
+    rows = staged(features_weekly(spark, folder), "features")
+    empty = ",".join(features.empty_annual_lags(rows, SPEC))
     names = [n for n in features.numeric_features(SPEC) if "_lag_" in n]
     return rows.agg(*[F.count(n).alias(n) for n in names],
-                    F.count_distinct(panel.PERIOD).alias("n_periodos"))
+                    F.count_distinct(panel.PERIOD).alias("n_periodos"),
+                    F.lit(empty).alias("empty_lags"))
 
 
 # --- rankings and report tables -----------------------------------------------
 
 @query
 def rank_kind(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.spend_summary(raw_feed(spark, folder), SPEC)[ROLES.kind]
+    return reports.ranking(raw_feed(spark, folder), ROLES.kind, SPEC)
 
 
 @query
 def rank_category(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.spend_summary(raw_feed(spark, folder), SPEC, top=3)[ROLES.category]
+    return reports.spend_summary(raw_feed(spark, folder), SPEC)[ROLES.category]
 
 
 @query
@@ -250,7 +253,7 @@ def rank_estimated(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def weekly_raw_vs_kept(spark: SparkSession, folder: str) -> DataFrame:
     typed = staged(typed_items(spark, folder).select(ROLES.included_at, ROLES.awarded), "typed")
-    return reports.weekly_before_after(typed, items.split_suspects(typed, SPEC)[0], SPEC)
+    return reports.weekly_before_after(typed, SPEC)
 
 
 @query
@@ -271,9 +274,8 @@ def median_value(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def median_value_ranked(spark: SparkSession, folder: str) -> DataFrame:
-    """The same single group, its median taken by distributed rank."""
-    spread = dataclasses.replace(SPEC, exact_group_rows=1)
-    return reports.median_value(kept_layer(spark, folder, ROLES.awarded), spread)
+    """The median over all items before the plausibility split, one group."""
+    return reports.median_value(staged(typed_items(spark, folder).select(ROLES.awarded), "awarded"), SPEC)
 
 
 @query
@@ -383,9 +385,9 @@ def landing_append(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "landing")
     lines = table(spark, folder, "lineitem")
     columns = ["l_orderkey", "l_linenumber", "l_quantity"]
-    returned, other = F.col("l_returnflag") == "R", F.col("l_returnflag") != "R"
+    returned = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
     landing.append_landing(lines.where(returned), path, columns)
-    landing.append_landing(lines.where(other), path, [*columns, "l_tax"])
+    landing.append_landing(lines.where(~returned), path, [*columns, "l_tax"])
     return spark.read.parquet(path)
 
 
@@ -402,6 +404,181 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.length(text).alias("length"), F.col("n_chars").cast("long"))
 
 
+def _text_files(lines: DataFrame, header: str, path: str, files: int = 8) -> None:
+    """(place, value) rows as text files that all begin with the header line."""
+    dealt = lines.withColumn("part", F.pmod("place", F.lit(files)))
+    headers = lines.sparkSession.range(files).select(
+        F.lit(-1).cast("long").alias("place"), F.lit(header).alias("value"), F.col("id").alias("part"))
+    (dealt.unionByName(headers).repartition("part").sortWithinPartitions("part", "place")
+     .select("value", "part").write.mode("append").partitionBy("part").text(path))
+
+
+def _unfinished_file(spark: SparkSession, path: str, text: str) -> None:
+    """A file with exactly this text. The writer ends every row with a separator: here
+    the last character."""
+    row = spark.range(1).select(F.lit(text[:-1]).alias("value")).coalesce(1)
+    row.write.mode("append").option("lineSep", text[-1]).text(path)
+
+
+@query
+def csv_stray_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as CSV with single quotes inside unquoted fields, text behind closing
+    quotes, and line breaks inside quotes in every third one."""
+    path = scratch_path(spark, "stray")
+    number = F.col("doc_id") % 3
+    text = (F.when(number == 0, F.concat(F.lit('"two\n'), "lang", F.lit(', ""lines"""')))
+            .when(number == 1, F.concat(F.lit('pipe 5" '), "lang"))
+            .otherwise(F.concat(F.lit('"quoted"'), "lang")))
+    lines = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("place"),
+        F.concat_ws(",", F.col("doc_id").cast("string"), text, "source").alias("value"))
+    _text_files(lines, "id,text,source", path)
+    rows = csv_items.scan_csv(spark, path, tokens=None).rows
+    return rows.select(F.col("id").cast("long").alias("doc_id"), "text", "source")
+
+
+@query
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as CSV, some with a field too many, some with one too few, and some
+    far wider than any parser's limit."""
+    path = scratch_path(spark, "rejects")
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    kind = F.pmod(key, F.lit(5))
+    extra = F.when((kind == 1) & (key % 1000 == 1), F.repeat(F.lit(","), 25_000)) \
+        .when(kind == 1, F.lit(",more")).otherwise("")
+    body = F.concat_ws(",", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    last = F.when(kind == 2, "").otherwise(F.concat(F.lit(","), F.col("l_quantity").cast("string")))
+    # Every copy of an order line is one record: the feed repeats some.
+    lines = table(spark, folder, "lineitem").select(key.alias("place"), F.concat(body, last, extra).alias("value"))
+    _text_files(lines, "order,line,quantity", path)
+    raw = csv_items.scan_csv(spark, path)
+    good = raw.rows.select("order", "line", "quantity", F.lit(False).alias("rejected"))
+    parts = F.split("record", ",", 4)
+    bad = raw.rejects.select(parts[0].alias("order"), parts[1].alias("line"), parts[2].alias("quantity"),
+                             F.lit(True).alias("rejected"))
+    return good.unionByName(bad).select(
+        F.col("order").cast("long"), F.col("line").cast("long"), F.col("quantity").cast("double"), "rejected")
+
+
+def _damaged(spark: SparkSession, folder: str, rest: str) -> str:
+    """All document ids as CSV, and a file that ends in ``rest``."""
+    path = scratch_path(spark, "damaged")
+    lines = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("place"), F.concat_ws(",", F.col("doc_id").cast("string"), "lang").alias("value"))
+    _text_files(lines, "id,lang", path)
+    _unfinished_file(spark, f"{path}/part=99", f"id,lang\n{rest}")
+    return path
+
+
+@query
+def csv_torn_tail(spark: SparkSession, folder: str) -> DataFrame:
+    """A file that ends in half a row loses that row, and only that."""
+    raw = csv_items.scan_csv(spark, _damaged(spark, folder, "-5,en\n-7,e"))
+    return raw.rows.select(F.col("id").cast("long").alias("doc_id"), "lang",
+                           F.lit(raw.notes["torn_files"]).cast("long").alias("torn_files"))
+
+
+@query
+def csv_open_quote(spark: SparkSession, folder: str) -> DataFrame:
+    """A file that ends inside quotes is an error."""
+    path = _damaged(spark, folder, '-7,"e\n')
+    try:
+        csv_items.scan_csv(spark, path)
+        state = "read"
+    except csv_items.OpenQuoteError:
+        state = "open quote"
+    return table(spark, folder, "documents").agg(
+        F.lit(state).alias("state"), F.count(F.lit(1)).alias("n_documents"))
+
+
+@query
+def csv_changed_while_read(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that change during the read: the unfinished row is kept, and this is noted."""
+    looks = iter([0, 1])
+    raw = csv_items.scan_csv(spark, _damaged(spark, folder, "-7,e"), fingerprint=lambda *_: next(looks))
+    return raw.rows.select(F.col("id").cast("long").alias("doc_id"), "lang",
+                           F.lit(raw.notes["changed"]).alias("changed"))
+
+
+@query
+def dedup_first_across_appends(spark: SparkSession, folder: str) -> DataFrame:
+    """The copy of the first append is kept: half of the lines come in both."""
+    path = scratch_path(spark, "appends")
+    lines = dedup_first(spark, folder).select("l_orderkey", "l_linenumber")
+    for run, part in ((1, lines.where("l_orderkey % 2 = 0")), (2, lines)):
+        landing.append_landing(part.withColumn("run", F.lit(run)).repartition(3), path, fmt="csv")
+    rows = csv_items.scan_csv(spark, path).rows
+    first = items.first_per_key(rows, ["l_orderkey", "l_linenumber"], [csv_items.ORDER])
+    return first.select(*[F.col(c).cast("long") for c in ("l_orderkey", "l_linenumber", "run")])
+
+
+@query
+def prepared_from_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages to panel: the collector reads all chunks, later the open ones once more with
+    changed copies, and the first copy of an item counts."""
+    root = scratch_path(spark, "pages_to_panel")
+    feed_rows = with_roles(lines_first(spark, folder), spark, folder)
+    names = feed_rows.columns
+    dated = chunks.with_chunk(feed_rows, ROLES.included_at, 91).drop("chunk_end", "chunk_key")
+    span = dated.agg(F.min("chunk_start"), F.date_add(F.max("chunk_start"), 91)).first()
+    middle = span[0] + (span[1] - span[0]) / 2
+    spec = CollectSpec(end_date=span[1], window_days=(span[1] - span[0]).days, chunk_days=91, columns=tuple(names))
+
+    def land(rows: DataFrame, place: str) -> str:
+        text = [F.col(n).cast("string").alias(n) for n in names]
+        block = F.pmod(F.xxhash64(ROLES.item_id), F.lit(50))
+        paged = (rows.select("chunk_start", block.alias("block"), F.struct(*text).alias("record"))
+                 .groupBy("chunk_start", "block").agg(F.collect_list("record").alias(pages.RECORDS)))
+        nth = F.row_number().over(Window.partitionBy("chunk_start").orderBy("block"))
+        of = F.count(F.lit(1)).over(Window.partitionBy("chunk_start"))
+        page = paged.select("chunk_start", F.to_json(F.struct(
+            nth.alias("page"), pages.RECORDS, (of - nth).cast("int").alias(pages.REMAINING))).alias("value"))
+        page.write.partitionBy("chunk_start").text(f"{root}/{place}")
+        return f"{root}/{place}"
+
+    changed = dated.where(F.col("chunk_start") >= F.lit(middle)).withColumn(ROLES.status, F.lit("changed"))
+    for place, rows, today in (("first", dated, middle), ("second", changed, span[1])):
+        collect(spark, spec, land(rows, place), pages.text_record(names), f"{root}/table", f"{root}/manifest",
+                today, one_per_file=False)
+    loaded, _, _ = load_items(spark, f"{root}/table", SPEC, collected=True)
+    kept, _ = items.split_suspects(loaded, SPEC)
+    return panel.to_panel(staged(kept.select(*panel.item_columns(SPEC)), "kept"), SPEC)
+
+
+@query
+def staged_layers(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every table a whole run leaves in its layers, read back."""
+    layers = Layers(scratch_path(spark, "layers"))
+    landing.append_landing(with_roles(lines_first(spark, folder), spark, folder), layers.raw, fmt="csv")
+    run_stages(spark, layers, SPEC)
+    stored = {"kept": layers.kept, "quarantine": layers.quarantine, "panel": layers.panel,
+              "features": layers.features, "weekly": layers.report("weekly"),
+              "composition": layers.report("composition")}
+    return landing.union_slices([
+        spark.read.parquet(path).agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n_rows"))
+        for name, path in stored.items()])
+
+
+@query
+def panel_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The monthly panel's keys with their place in the canonical order."""
+    rows = panel.in_panel_order(_panel(spark, folder, "M"), SPEC).select(*panel.panel_key(SPEC))
+    path = scratch_path(spark, "ordered")
+    rows.write.parquet(path)
+    # Written files keep the order: by file, then by row.
+    back = spark.read.parquet(path)
+    place = F.row_number().over(Window.orderBy("_metadata.file_name", "_metadata.row_index"))
+    return back.select(*panel.panel_key(SPEC), place.alias("place"))
+
+
+@query
+def union_of_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents by language under each other; a column that a slice lacks is null."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    return landing.union_slices([docs.where(english), docs.where(~english).drop("source")])
+
+
 @query
 def prepared_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The whole way: the feed as CSV files in feed order, scanned, typed,
@@ -428,6 +605,63 @@ def weekly_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return feed.current_totals(spark, f"{target}/table")
 
 
+def _order_line_files(spark: SparkSession, folder: str, parts: list[DataFrame]) -> str:
+    """Order lines as Parquet files, one per part, in this order of time."""
+    path = scratch_path(spark, "line_stream")
+    for n, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{path}/{n}")
+    return path
+
+
+def _delivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as events; the table itself holds some of them more than once."""
+    return table(spark, folder, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"), "l_orderkey", "l_linenumber",
+        F.lit("2024-01-10").cast("timestamp").alias("ts"), F.col("l_returnflag").alias("kind"),
+        F.lit(1.0).alias("value"))
+
+
+def _streamed(spark: SparkSession, path: str, target: str, schema, lateness: str) -> DataFrame:
+    stream = feed.stream_parquet(spark, f"{path}/*", schema, files_per_batch=1)
+    unique = feed.unique_within_watermark(stream, "event_id", "ts", lateness)
+    totals = feed.chunk_totals(unique, "ts", "kind", "value", CHUNK_DAYS, SPEC.sum_scale)
+    feed.write_changes(totals, f"{target}/table", f"{target}/checkpoint").awaitTermination()
+    return feed.current_totals(spark, f"{target}/table")
+
+
+@query
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines delivered twice, in two files: each is counted once."""
+    lines = _delivered(spark, folder).withColumn("kind", F.lit("line"))
+    path = _order_line_files(spark, folder, [lines, lines])
+    return _streamed(spark, path, scratch_path(spark, "stream"), lines.schema, "40 days")
+
+
+@query
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that come weeks behind the watermark do not change a window that is closed."""
+    lines = _delivered(spark, folder).dropDuplicates(["event_id"]).withColumn("kind", F.lit("line"))
+    early = lines.where("l_orderkey % 2 = 0")
+    later = lines.where("l_orderkey % 4 = 1").withColumn("ts", F.lit("2024-03-05").cast("timestamp"))
+    late = lines.where("l_orderkey % 4 = 3")
+    # A row is late by the watermark that the batch before the last one had reached.
+    path = _order_line_files(spark, folder, [early, later.where("l_linenumber <= 3"),
+                                             later.where("l_linenumber > 3"), late])
+    return _streamed(spark, path, scratch_path(spark, "stream"), lines.schema, "7 days")
+
+
+@query
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream that is stopped after each file, and its table compacted, goes on where it was."""
+    lines = _delivered(spark, folder).dropDuplicates(["event_id"]).withColumn("kind", F.lit("line"))
+    path, target = scratch_path(spark, "line_stream"), scratch_path(spark, "stream")
+    for n in range(3):
+        lines.where(F.pmod("l_orderkey", F.lit(3)) == n).coalesce(1).write.parquet(f"{path}/{n}")
+        _streamed(spark, path, target, lines.schema, "40 days")
+        feed.compact(spark, f"{target}/table")
+    return feed.current_totals(spark, f"{target}/table")
+
+
 # --- folds and model-facing features ---------------------------------------------
 
 @query
@@ -437,50 +671,69 @@ def temporal_folds(spark: SparkSession, folder: str) -> DataFrame:
     return folds.temporal_folds(rows, FOLDS, panel.panel_key(SPEC))
 
 
+MODEL_FOLDS = 3
+
+
+def _by_fold(rows: DataFrame, n_splits: int, work) -> DataFrame:
+    """``work(train, test)`` for every fold, under each other with its number."""
+    parts = [work(train, test).withColumn("fold", F.lit(fold))
+             for fold, (train, test) in enumerate(folds.fold_parts(rows, n_splits))]
+    return landing.union_slices(parts)
+
+
 @query
 def impute_scale_train_only(spark: SparkSession, folder: str) -> DataFrame:
-    """Second fold: missing values filled and scaled by what its train rows say."""
+    """Every fold: missing values filled and scaled by what its train rows say."""
     spec = for_freq("M")
     names = ["valor_lag_1", "qtd_mediana", "taxa_desconto", "itens_media_4"]
     rows = staged(features.build_features(_panel(spark, folder, "M"), spec), "features")
-    parts = list(folds.fold_parts(rows, 3))
-    train, test = parts[1]
-    model = transform.ImputeAndScale(inputCols=names, outputCol="numeric").fit(train)
-    both = train.withColumn("role", F.lit("train")).unionByName(test.withColumn("role", F.lit("test")))
-    values = vector_to_array("numeric")
-    return model.transform(both).select(
-        "role", *panel.panel_key(spec),
-        *[F.round(values[i], 6).alias(n) for i, n in enumerate(model.getInputCols())])
+
+    def scaled(train: DataFrame, test: DataFrame) -> DataFrame:
+        model = transform.ImputeAndScale(inputCols=names, outputCol="numeric").fit(train)
+        both = train.withColumn("role", F.lit("train")).unionByName(test.withColumn("role", F.lit("test")))
+        values = vector_to_array("numeric")
+        return model.transform(both).select(
+            "role", *panel.panel_key(spec),
+            *[F.round(values[i], 6).alias(n) for i, n in enumerate(model.getInputCols())])
+
+    return _by_fold(rows, MODEL_FOLDS, scaled)
 
 
 @query
 def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole transformer, fitted on the train rows of the second fold: width
-    of the vector, sum of its scaled numbers, and how many categories are set."""
+    """The whole transformer, fitted on the train rows of every fold: width of the
+    vector, sum of its scaled numbers, and how many categories are set."""
     spec = for_freq("M")
     rows = staged(features.build_features(_panel(spark, folder, "M"), spec), "features")
-    train, test = list(folds.fold_parts(rows, 3))[1]
-    made = transform.build_transformer(spec).fit(train).transform(test)
-    width = len(features.numeric_features(spec))
-    vector = vector_to_array("features")
-    return made.select(
-        *panel.panel_key(spec), F.size(vector).alias("width"),
-        F.round(F.aggregate(F.slice(vector, 1, width), F.lit(0.0), lambda a, b: a + b), 4)
-        .alias("numeric_sum"),
-        F.aggregate(F.slice(vector, width + 1, 1000), F.lit(0.0), lambda a, b: a + b)
-        .cast("int").alias("n_set"))
+
+    def measured(train: DataFrame, test: DataFrame) -> DataFrame:
+        model = transform.build_transformer(spec).fit(train)
+        # Columns without any value are left out of the numbers.
+        width = len(model.stages[0].getInputCols())
+        vector = vector_to_array("features")
+        total = lambda part: F.aggregate(part, F.lit(0.0), lambda a, b: a + b)
+        return model.transform(test).select(
+            *panel.panel_key(spec), F.size(vector).alias("width"),
+            F.round(total(F.slice(vector, 1, width)), 4).alias("numeric_sum"),
+            total(F.slice(vector, F.lit(width + 1), F.size(vector) - width)).cast("int").alias("n_set"))
+
+    return _by_fold(rows, MODEL_FOLDS, measured)
 
 
 @query
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
-    """Categories of the panel's first periods, applied to all of it: a category
+    """Categories of every fold's train rows, applied to its test rows: a category
     that only comes later is all zeros."""
     rows = staged(panel_weekly(spark, folder), "panel")
-    train = rows.where((F.col("n_itens") > 0) & (F.col(panel.PERIOD) < F.lit(date(1995, 1, 16))))
-    stages, encoded = transform.one_hot_stages(features.categorical_features(SPEC))
-    model = Pipeline(stages=stages).fit(train)
-    wide = model.transform(rows).select(
-        *panel.panel_key(SPEC), *[vector_to_array(c).alias(c) for c in encoded])
-    hot = [F.array_position(c, F.lit(1.0)).cast("int").alias(f"{c}_slot") for c in encoded]
-    sizes = [F.size(c).alias(f"{c}_size") for c in encoded]
-    return wide.select(*panel.panel_key(SPEC), *hot, *sizes)
+    columns = features.categorical_features(SPEC)
+
+    def slots(train: DataFrame, test: DataFrame) -> DataFrame:
+        stages, encoded = transform.one_hot_stages(columns)
+        model = Pipeline(stages=stages).fit(train.where("n_itens > 0"))
+        wide = model.transform(test).select(
+            *panel.panel_key(SPEC), *[vector_to_array(c).alias(c) for c in encoded])
+        return wide.select(*panel.panel_key(SPEC),
+                           *[F.array_position(c, F.lit(1.0)).cast("int").alias(f"{c}_slot") for c in encoded],
+                           *[F.size(c).alias(f"{c}_size") for c in encoded])
+
+    return _by_fold(rows, MODEL_FOLDS, slots)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-import dataclasses
-
-from panelyard.functions.calendar import CHUNK_EPOCH
-from panelyard.operators import features as features_module
-from panelyard.plans.catalog import CHUNK_DAYS, FOLDS, PAGE_SIZE
-from panelyard.plans.star import SPEC
-from panelyard.spec import NO_CLASS, OTHER_CLASSES, REASON_VALUE
-
-ROLES = SPEC.columns
+from types import SimpleNamespace
+
+# Written out here again, so that a wrong value in the library does not pass.
+# Labels and column names that results have.
+NO_CLASS, OTHER_CLASSES = "Sem classe", "Outras"
+REASON_VALUE = "valor total implausível para um item de linha"
+CHUNK_EPOCH, CHUNK_DAYS, PAGE_SIZE, FOLDS = "2000-01-03", 7, 200, 5
+SPEC = SimpleNamespace(status="F", ceiling=100000.0, sum_scale=4, top_classes=20)
+ROLES = SimpleNamespace(
+    item_id="idCompraItem", included_at="dataInclusaoPncp", kind="materialOuServicoNome",
+    class_code="codigoClasse", status="situacaoCompraItemNome", quantity="quantidade",
+    unit_estimate="valorUnitarioEstimado", estimated="valorTotal", awarded="valorTotalResultado",
+    supplier="nomeFornecedor", organ="orgaoEntidadeCnpj", category="itemCategoriaNome",
+    description="descricaoResumida")
 
 # The feed of panelyard.plans.star under its role names, every copy numbered.
 FEED = f"""
@@ -182,39 +187,48 @@ def scaled(name: str) -> str:
             f"CASE WHEN s_{name} = 0 THEN 1 ELSE s_{name} END, 6) AS {name}")
 
 
+def fold_parts(source: str, n: int) -> str:
+    return f"""{FOLD_RULE.format(source=source, n=n)},
+parts AS (SELECT fold, role, {source}.* FROM {source} JOIN folds USING (semana) WHERE role IS NOT NULL),
+train AS (SELECT * FROM parts WHERE role = 'train')"""
+
+
 def impute_scale() -> str:
     names = ["valor_lag_1", "qtd_mediana", "taxa_desconto", "itens_media_4"]
     medians = ", ".join(f"median({n}) AS m_{n}" for n in names)
     stats = ", ".join(f"avg(coalesce({n}, m_{n})) AS a_{n}, "
                       f"stddev_pop(coalesce({n}, m_{n})) AS s_{n}" for n in names)
-    return f"""WITH {features('M')}, {FOLD_RULE.format(source='features', n=3)},
-parts AS (SELECT role, features.* FROM features JOIN folds USING (semana)
-          WHERE fold = 1 AND role IS NOT NULL),
-medians AS (SELECT {medians} FROM parts WHERE role = 'train'),
-stats AS (SELECT {stats} FROM parts CROSS JOIN medians WHERE role = 'train')
-SELECT role, {KEY}, {', '.join(scaled(n) for n in names)}
-FROM parts CROSS JOIN medians CROSS JOIN stats"""
+    return f"""WITH {features('M')}, {fold_parts('features', 3)},
+medians AS (SELECT fold, {medians} FROM train GROUP BY fold),
+stats AS (SELECT fold, {stats} FROM train JOIN medians USING (fold) GROUP BY fold)
+SELECT fold, role, {KEY}, {', '.join(scaled(n) for n in names)}
+FROM parts JOIN medians USING (fold) JOIN stats USING (fold)"""
+
+
+# The numeric features of a monthly panel.
+MONTHLY_NUMBERS = """tendencia semana_do_ano mes sazonal_sen sazonal_cos qtd_total qtd_mediana
+preco_unitario_mediano n_fornecedores n_orgaos taxa_desconto valor_media_4 itens_media_4
+valor_lag_1 itens_lag_1 valor_lag_4 itens_lag_4 valor_lag_12 itens_lag_12""".split()
 
 
 def feature_matrix() -> str:
-    names = features_module.numeric_features(dataclasses.replace(SPEC, freq="M"))
+    names = MONTHLY_NUMBERS
     medians = ", ".join(f"median({n}) AS m_{n}" for n in names)
     stats = ", ".join(f"avg(coalesce({n}, m_{n})) AS a_{n}, "
                       f"stddev_pop(coalesce({n}, m_{n})) AS s_{n}" for n in names)
-    total = " + ".join(f"(coalesce({n}, m_{n}) - a_{n}) / s_{n}" for n in names)
+    total = " + ".join(f"coalesce((coalesce({n}, m_{n}) - a_{n}) / s_{n}, 0)" for n in names)
+    present = " + ".join(f"CAST(m_{n} IS NOT NULL AS INTEGER)" for n in names)
     kind = f'"{ROLES.kind}"'
-    return f"""WITH {features('M', rounded=False)}, {FOLD_RULE.format(source='features', n=3)},
-parts AS (SELECT role, features.* FROM features JOIN folds USING (semana)
-          WHERE fold = 1 AND role IS NOT NULL),
-train AS (SELECT * FROM parts WHERE role = 'train'),
-medians AS (SELECT {medians} FROM train),
-stats AS (SELECT {stats} FROM train CROSS JOIN medians)
-SELECT {KEY}, CAST({len(names)} + (SELECT count(DISTINCT {kind}) + count(DISTINCT classe) FROM train)
-                   AS INTEGER) AS width,
-       round({total}, 4) AS numeric_sum,
-       CAST(({kind} IN (SELECT {kind} FROM train)) AS INTEGER)
-         + CAST((classe IN (SELECT classe FROM train)) AS INTEGER) AS n_set
-FROM parts CROSS JOIN medians CROSS JOIN stats WHERE role = 'test'"""
+    return f"""WITH {features('M', rounded=False)}, {fold_parts('features', 3)},
+medians AS (SELECT fold, {medians} FROM train GROUP BY fold),
+stats AS (SELECT fold, {stats} FROM train JOIN medians USING (fold) GROUP BY fold),
+widths AS (SELECT fold, count(DISTINCT {kind}) + count(DISTINCT classe) AS slots FROM train GROUP BY fold),
+kinds AS (SELECT DISTINCT fold, {kind}, 1 AS has_kind FROM train),
+classes AS (SELECT DISTINCT fold, classe, 1 AS has_class FROM train)
+SELECT fold, {KEY}, CAST({present} + slots AS INTEGER) AS width, round({total}, 4) AS numeric_sum,
+       CAST(coalesce(has_kind, 0) + coalesce(has_class, 0) AS INTEGER) AS n_set
+FROM parts JOIN medians USING (fold) JOIN stats USING (fold) JOIN widths USING (fold)
+LEFT JOIN kinds USING (fold, {kind}) LEFT JOIN classes USING (fold, classe) WHERE role = 'test'"""
 
 
 def text_coercion() -> str:
@@ -260,25 +274,22 @@ SELECT median("{ROLES.awarded}") AS mediana FROM kept WHERE "{ROLES.awarded}" >
 EVENT_TOTALS = f"""SELECT {chunk_of('ts')} AS chunk_start, event_type AS tipo,
        count(*) AS n_itens, {money('value')} AS valor_total FROM events GROUP BY 1, 2"""
 
-ONE_HOT_BEFORE = "DATE '1995-01-16'"
-
-
 def one_hot() -> str:
     def slots(column: str, name: str) -> str:
         return f"""{name}_slots AS (
-  SELECT {column}, CAST(row_number() OVER (ORDER BY {column}) AS INTEGER) AS {name}_slot,
-         CAST(count(*) OVER () AS INTEGER) AS {name}_size
-  FROM (SELECT DISTINCT {column} FROM panel WHERE n_itens > 0 AND semana < {ONE_HOT_BEFORE}))"""
+  SELECT fold, {column}, CAST(row_number() OVER (PARTITION BY fold ORDER BY {column}) AS INTEGER) AS {name}_slot
+  FROM (SELECT DISTINCT fold, {column} FROM train WHERE n_itens > 0)),
+{name}_sizes AS (SELECT fold, CAST(count(*) AS INTEGER) AS {name}_size FROM {name}_slots GROUP BY fold)"""
 
     def columns(column: str, name: str) -> str:
         base = f"{column.strip(chr(34))}_onehot"
-        return (f'coalesce({name}_slot, 0) AS "{base}_slot", '
-                f'(SELECT max({name}_size) FROM {name}_slots) AS "{base}_size"')
+        return f'coalesce({name}_slot, 0) AS "{base}_slot", {name}_size AS "{base}_size"'
 
     kind = f'"{ROLES.kind}"'
-    return f"""WITH {panel('W')}, {slots(kind, 'k')}, {slots('classe', 'c')}
-SELECT {KEY}, {columns(kind, 'k')}, {columns('classe', 'c')}
-FROM panel LEFT JOIN k_slots USING ({kind}) LEFT JOIN c_slots USING (classe)"""
+    return f"""WITH {panel('W')}, {fold_parts('panel', 3)}, {slots(kind, 'k')}, {slots('classe', 'c')}
+SELECT fold, {KEY}, {columns(kind, 'k')}, {columns('classe', 'c')}
+FROM parts LEFT JOIN k_slots USING (fold, {kind}) LEFT JOIN c_slots USING (fold, classe)
+JOIN k_sizes USING (fold) JOIN c_sizes USING (fold) WHERE role = 'test'"""
 
 
 CELLS_WEEKLY = f"WITH {cells('W')} SELECT * FROM cells"
@@ -291,7 +302,7 @@ ORACLE: dict[str, str] = {
     "source_filters": f"""WITH {FEED}
 SELECT "{ROLES.item_id}", "{ROLES.included_at}", "{ROLES.kind}", "{ROLES.status}", "{ROLES.estimated}"
 FROM feed WHERE "{ROLES.kind}" = 'F' AND "{ROLES.status}" = 'O'
-  AND "{ROLES.included_at}" >= DATE '2001-06-30' - 365""",
+  AND "{ROLES.included_at}" >= DATE '1995-06-30' - 365 AND "{ROLES.included_at}" < DATE '1995-06-30'""",
     "kept_items": f"WITH {UNIQUE} SELECT * FROM kept",
     "quarantine": f"""WITH {UNIQUE} SELECT *, '{REASON_VALUE}' AS motivo
 FROM items WHERE "{ROLES.awarded}" > {SPEC.ceiling}""",
@@ -301,7 +312,8 @@ FROM items WHERE "{ROLES.awarded}" > {SPEC.ceiling}""",
     "reduced_class": f"""WITH {CLASSES}
 SELECT "{ROLES.item_id}", "{ROLES.class_code}", classe FROM reduced""",
     "panel_cells": CELLS_WEEKLY,
-    "panel_ranked_medians": CELLS_WEEKLY,
+    "panel_ranked_medians": f"""WITH {cells('D')}
+SELECT {KEY}, n_itens, qtd_mediana, preco_unitario_mediano FROM cells""",
     "panel_weekly": f"WITH {panel('W')} SELECT * FROM panel",
     "panel_monthly": f"WITH {panel('M')} SELECT * FROM panel",
     "panel_quarterly": f"WITH {panel('Q')} SELECT * FROM panel",
@@ -316,21 +328,25 @@ SELECT count(*) AS n_rows, count(DISTINCT semana) AS n_periods,
     "features_daily": f"WITH {features('D')} SELECT * FROM features",
     "annual_lag_coverage": f"""WITH {features('W')}
 SELECT {', '.join(f'count({t}_lag_{k}) AS {t}_lag_{k}' for k in (1, 4, 52) for t in ('valor', 'itens'))},
-       count(DISTINCT semana) AS n_periodos FROM features""",
+       count(DISTINCT semana) AS n_periodos,
+       concat_ws(',', CASE WHEN count(valor_lag_52) = 0 THEN 'valor_lag_52' END,
+                 CASE WHEN count(itens_lag_52) = 0 THEN 'itens_lag_52' END) AS empty_lags FROM features""",
     "rank_kind": ranking(ROLES.kind, ROLES.awarded),
-    "rank_category": ranking(ROLES.category, ROLES.awarded, 3),
+    "rank_category": ranking(ROLES.category, ROLES.awarded, 20),
     "rank_description": ranking(ROLES.description, ROLES.awarded, 20, label=True),
     "rank_estimated": ranking(ROLES.supplier, ROLES.estimated, 20),
     "weekly_raw_vs_kept": f"""WITH {UNIQUE}, {weekly('items', 'bruto')}, {weekly('kept', 'limpo')}
-SELECT *, bruto / 1e9 AS bruto_bi, limpo / 1e9 AS limpo_bi
-FROM bruto_series FULL JOIN limpo_series USING (domingo)""",
+SELECT domingo, bruto, coalesce(limpo, 0.0) AS limpo, bruto / 1e9 AS bruto_bi,
+       coalesce(limpo, 0.0) / 1e9 AS limpo_bi
+FROM bruto_series LEFT JOIN limpo_series USING (domingo)""",
     "composition_pivot": f"""WITH {panel('W')}
 SELECT semana, {', '.join(f'''coalesce(CAST(sum(CAST(valor_total AS DECIMAL(18, 4)))
   FILTER (WHERE "{ROLES.kind}" = '{k}') AS DOUBLE), 0.0) AS "{k}"''' for k in ('F', 'O'))}
 FROM panel GROUP BY 1""",
     "log_histogram": HISTOGRAM,
     "median_value": MEDIAN,
-    "median_value_ranked": MEDIAN,
+    "median_value_ranked": f"""WITH {UNIQUE}
+SELECT median("{ROLES.awarded}") AS mediana FROM items WHERE "{ROLES.awarded}" > 0""",
     "quarantine_by_reason": f"""WITH {UNIQUE}
 SELECT '{REASON_VALUE}' AS motivo, {money(f'"{ROLES.awarded}"')} AS soma, count(*) AS n_itens
 FROM items WHERE "{ROLES.awarded}" > {SPEC.ceiling} GROUP BY 1""",
@@ -357,6 +373,41 @@ GROUP BY chunk_start, last""",
     "csv_round_trip": """SELECT doc_id, lang, source, md5(coalesce(text, '')) AS text_md5,
        CAST(length(coalesce(text, '')) AS INTEGER) AS length, CAST(n_chars AS BIGINT) AS n_chars
 FROM documents""",
+    "csv_stray_quotes": """SELECT doc_id, source, CASE doc_id % 3
+  WHEN 0 THEN 'two' || chr(10) || lang || ', "lines"' WHEN 1 THEN 'pipe 5" ' || lang
+  ELSE 'quoted' || lang END AS text FROM documents""",
+    "csv_rejects": """SELECT l_orderkey AS "order", CAST(l_linenumber AS BIGINT) AS line,
+       CASE WHEN (l_orderkey * 8 + l_linenumber) % 5 <> 2 THEN CAST(l_quantity AS DOUBLE) END AS quantity,
+       (l_orderkey * 8 + l_linenumber) % 5 = 1 AS rejected FROM lineitem""",
+    "csv_torn_tail": """SELECT doc_id, lang, 1 AS torn_files FROM documents
+UNION ALL SELECT -5, 'en', 1""",
+    "csv_open_quote": "SELECT 'open quote' AS state, count(*) AS n_documents FROM documents",
+    "csv_changed_while_read": """SELECT doc_id, lang, true AS changed FROM documents
+UNION ALL SELECT -7, 'e', true""",
+    "dedup_first_across_appends": """SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       CAST(CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS run FROM lineitem""",
+    "prepared_from_pages": f"WITH {panel('W')} SELECT * FROM panel",
+    "staged_layers": f"""WITH {panel('W')},
+weeks AS (SELECT date_diff('week', min(date_trunc('week', "{ROLES.included_at}")),
+                           max(date_trunc('week', "{ROLES.included_at}"))) + 1 AS n FROM items)
+SELECT 'kept' AS layer, count(*) AS n_rows FROM kept
+UNION ALL SELECT 'quarantine', count(*) FROM items WHERE "{ROLES.awarded}" > {SPEC.ceiling}
+UNION ALL SELECT 'panel', count(*) FROM panel UNION ALL SELECT 'features', count(*) FROM panel
+UNION ALL SELECT 'weekly', n FROM weeks
+UNION ALL SELECT 'composition', count(DISTINCT semana) FROM panel""",
+    "panel_in_order": f"""WITH {panel('M')}
+SELECT {KEY}, CAST(row_number() OVER (ORDER BY {KEY}) AS INTEGER) AS place FROM panel""",
+    "union_of_slices": """SELECT doc_id, lang, CASE WHEN lang = 'en' THEN source END AS source
+FROM documents""",
+    "stream_dedup": """SELECT DATE '2024-01-08' AS chunk_start, 'line' AS tipo, count(*) AS n_itens,
+       CAST(count(*) AS DOUBLE) AS valor_total FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
+    "stream_late_rows": """SELECT chunk_start, 'line' AS tipo, count(*) AS n_itens,
+       CAST(count(*) AS DOUBLE) AS valor_total
+FROM (SELECT DISTINCT l_orderkey, l_linenumber,
+             CASE WHEN l_orderkey % 2 = 0 THEN DATE '2024-01-08' ELSE DATE '2024-03-04' END AS chunk_start
+      FROM lineitem WHERE l_orderkey % 2 = 0 OR l_orderkey % 4 = 1) GROUP BY 1""",
+    "stream_restart": """SELECT DATE '2024-01-08' AS chunk_start, 'line' AS tipo, count(*) AS n_itens,
+       CAST(count(*) AS DOUBLE) AS valor_total FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
     "prepared_from_csv": f"WITH {panel('W')} SELECT * FROM panel",
     "weekly_event_stream": EVENT_TOTALS,
     "temporal_folds": f"""WITH {panel('W')}, {FOLD_RULE.format(source='panel', n=FOLDS)}

@@ -63,9 +63,7 @@ class PanelSpec:
 
     ``sum_scale`` switches money sums from double (order-dependent in the last
     bits) to decimals of that scale, whose totals do not depend on how the rows
-    were partitioned. ``exact_group_rows`` is the largest group whose median may
-    be taken by the built-in aggregate, which buffers a group's distinct values;
-    beyond it medians come from a range-partitioned rank selection.
+    were partitioned.
     """
 
     columns: ItemColumns = field(default_factory=ItemColumns)
@@ -74,13 +72,11 @@ class PanelSpec:
     status: str = "Homologado"
     ceiling: float = 10_000_000_000.0
     sum_scale: int | None = None
-    exact_group_rows: int = 1_000_000
 
     def __post_init__(self) -> None:
         Calendar.of(self.freq)
         _at_least("TOP_CLASSES", self.top_classes, 1)
         _at_least("VALUE_CEILING", self.ceiling, 1.0)
-        _at_least("EXACT_GROUP_ROWS", self.exact_group_rows, 1)
         if self.sum_scale is not None and not 0 <= self.sum_scale <= 12:
             raise SpecError(f"SUM_SCALE must be between 0 and 12, got {self.sum_scale}")
 

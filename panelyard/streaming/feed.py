@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from panelyard.functions.calendar import chunk_window_offset
 from panelyard.functions.scalars import money_sum
+from panelyard.session import staged
 
 
 def stream_parquet(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet",
@@ -52,6 +53,24 @@ def write_changes(totals: DataFrame, table: str, checkpoint: str) -> StreamingQu
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def compact(spark: SparkSession, table: str) -> None:
+    """Puts the latest state of every window into one folder, under the last epoch.
+
+    The result is complete before the folders it replaces are emptied, and holds what
+    they held, so a reader sees the same state at any moment. A later batch only adds.
+    """
+    found = spark.read.parquet(table).agg(F.max("epoch"), F.count_distinct("epoch")).first()
+    if found[1] < 2:
+        return
+    last = found[0]
+    earlier = spark.read.parquet(table).where(F.col("epoch") < last).select("epoch").distinct().collect()
+    state = staged(current_totals(spark, table), "compacted")
+    state.write.mode("overwrite").parquet(f"{table}/epoch={last}")
+    # One folder per finished batch since the last time: their number is bounded by that.
+    for row in earlier:
+        state.limit(0).write.mode("overwrite").parquet(f"{table}/epoch={row['epoch']}")
+
+
 def current_totals(spark: SparkSession, table: str) -> DataFrame:
     """The latest state of every window: the row of its last batch."""
     changes = spark.read.parquet(table)

@@ -13,33 +13,40 @@ SCHEMA = ("semana date, materialOuServicoNome string, classe string, valor_total
           "valor_estimado_total double, n_fornecedores long, n_orgaos long, taxa_desconto double")
 
 
-def panel_of(spark, periods, factor_b=1.0):
+def spend(i):
+    """Awarded value of the i-th period: no two steps are alike."""
+    return 7.0 * i * i + 3.0
+
+
+def panel_of(spark, periods, scale=1.0):
+    """Two series; the second is the first, scaled, with other counts."""
     rows = []
     for i, day in enumerate(periods):
-        for kind, name, factor in (("Material", "A", 1.0), ("Serviço", "B", factor_b)):
-            rows.append((day, kind, name, (i + 1) * 100.0 * factor, i + 1, 10.0, 2.0, 50.0,
-                         (i + 1) * 120.0, 2, 1, 0.83))
+        for kind, name, factor, n in (("Obra", "31", 1.0, 2 * i + 1), ("Locação", "47", scale, 40 - i % 40)):
+            value = spend(i) * factor
+            rows.append((day, kind, name, value, n, n * 1.5, 1.5, 6.0 + i, value * 1.25, n % 3 + 1, 1, 0.8))
     return spark.createDataFrame(rows, SCHEMA)
 
 
 def weeks(n):
-    return [datetime.date(2025, 1, 6) + datetime.timedelta(weeks=i) for i in range(n)]
+    return [datetime.date(2023, 9, 4) + datetime.timedelta(weeks=i) for i in range(n)]
 
 
-def series(frame, name="A"):
+def series(frame, name="31"):
     return sorted((r for r in frame.collect() if r["classe"] == name), key=lambda r: r["semana"])
 
 
 def test_lags_look_backwards_within_a_series(spark):
-    rows = series(features.build_features(panel_of(spark, weeks(8), factor_b=99.0), SPEC))
-    assert [r["valor_lag_1"] for r in rows] == [None] + [100.0 * i for i in range(1, 8)]
-    assert [r["itens_lag_4"] for r in rows] == [None] * 4 + [1, 2, 3, 4]
+    rows = series(features.build_features(panel_of(spark, weeks(9), scale=1e6), SPEC))
+    assert [r["valor_lag_1"] for r in rows] == [None] + [spend(i) for i in range(8)]
+    assert [r["itens_lag_4"] for r in rows] == [None] * 4 + [1, 3, 5, 7, 9]
 
 
 def test_mean_of_the_four_periods_before(spark):
-    rows = series(features.build_features(panel_of(spark, weeks(8)), SPEC))
-    assert [r["valor_media_4"] for r in rows] == [None] * 4 + [250.0, 350.0, 450.0, 550.0]
-    assert rows[4]["itens_media_4"] == 2.5
+    rows = series(features.build_features(panel_of(spark, weeks(7)), SPEC))
+    means = [sum(map(spend, range(i - 4, i))) / 4 for i in range(4, 7)]
+    assert [r["valor_media_4"] for r in rows] == [None] * 4 + means
+    assert rows[6]["itens_media_4"] == (5 + 7 + 9 + 11) / 4
 
 
 def test_annual_lag_is_empty_in_a_short_panel(spark, caplog):
@@ -52,11 +59,11 @@ def test_annual_lag_is_empty_in_a_short_panel(spark, caplog):
 def test_annual_lag_fills_in_a_long_panel(spark):
     made = features.build_features(panel_of(spark, weeks(54)), SPEC)
     assert features.empty_annual_lags(made, SPEC) == []
-    assert series(made)[53]["valor_lag_52"] == 200.0
+    assert series(made)[53]["valor_lag_52"] == spend(1)
 
 
 def test_calendar(spark):
-    rows = series(features.build_features(panel_of(spark, [datetime.date(2024, 12, 30), *weeks(3)]), SPEC))
+    rows = series(features.build_features(panel_of(spark, [datetime.date(2024, 12, 30) + datetime.timedelta(weeks=i) for i in range(4)]), SPEC))
     assert [r["tendencia"] for r in rows] == [0, 1, 2, 3]
     assert (rows[0]["semana_do_ano"], rows[0]["mes"]) == (1, 12)
     assert all(r["sazonal_sen"] ** 2 + r["sazonal_cos"] ** 2 == pytest.approx(1) for r in rows)
