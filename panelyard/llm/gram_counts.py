@@ -2,19 +2,21 @@
 
 Texts are dealt into batches of some megabytes by a hash of the row. A batch sends
 each of its distinct items once, with its count there, to the task that owns that
-range of hashes. There the counts are added up; items that occur more than once
-go back to the batches that sent them. A batch then meets its texts again (the
-exchange of the texts is used twice) and looks the counts up.
+range of hashes. There the counts are added up, and each batch is told which of its
+items occur more than once in all texts, and how often. A batch then meets its texts
+again (the exchange of the texts is used twice) and looks the counts up.
 
 However frequent an item, a batch sends it once, and ranges of hashes are even, so no
 task gets more than its share. One message between a batch and an owner is one row:
 its items are sorted, so they travel as differences, byte plane by byte plane, which
-the shuffle's compression shortens.
+the shuffle's compression shortens. The answer is a bit per item and the counts of
+those that occur more often. Hashes are cut to the bits that the caller needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,64 +37,71 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
-def in_batches(documents: DataFrame, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, int]:
-    """``documents`` (key, text) with ``text_hash`` and ``batch``, and the number of batches."""
+def in_batches(documents: DataFrame, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, int, int]:
+    """``documents`` (key, text) with ``text_hash`` and ``batch``; the number of batches and of bytes."""
     total = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // batch_bytes))
     return documents.withColumns({
-        "text_hash": F.xxhash64("text"), "batch": F.pmod(F.xxhash64("key", "text"), F.lit(n))}), n
-
-
-def repeated(batches: DataFrame, n: int, items: Callable[[pa.Table], np.ndarray]) -> DataFrame:
-    """Items that occur more than once: ``batch``, packed ``items``, ``totals`` (32-bit or more).
-
-    ``items`` gives all hashed items of a batch's texts, as often as they count.
-    """
-    def send(table: pa.Table) -> pa.Table:
-        batch = table.column("batch")[0].as_py()
-        found, counts = np.unique(items(table), return_counts=True)
-        bounds = np.array([(k << 64) // n for k in range(1, n)], np.uint64)
-        cuts = [0, *np.searchsorted(found, bounds).tolist(), len(found)]
-        rows = [(k, packed(found[a:b]), counts[a:b].astype("<u4").tobytes())
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
-        return pa.table({
-            "owner": pa.array([r[0] for r in rows], pa.int64()),
-            "batch": pa.array([batch] * len(rows), pa.int64()),
-            "items": pa.array([r[1] for r in rows], pa.binary()),
-            "counts": pa.array([r[2] for r in rows], pa.binary())})
-
-    def add_up(table: pa.Table) -> pa.Table:
-        parts = [unpacked(x.as_py()) for x in table.column("items")]
-        counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
-        _, places = np.unique(np.concatenate(parts), return_inverse=True)
-        totals = np.bincount(places, counts)[places].astype("<u8")
-        ends = np.cumsum([len(p) for p in parts]).tolist()
-        rows = []
-        for batch, part, a, b in zip(table.column("batch").to_pylist(), parts, [0, *ends], ends):
-            more = totals[a:b] > 1
-            if more.any():
-                rows.append((batch, packed(part[more]), totals[a:b][more].tobytes()))
-        return pa.table({"batch": pa.array([r[0] for r in rows], pa.int64()),
-                         "items": pa.array([r[1] for r in rows], pa.binary()),
-                         "totals": pa.array([r[2] for r in rows], pa.binary())})
-
-    sent = batches.groupBy("batch").applyInArrow(send, "owner bigint, batch bigint, items binary, counts binary")
-    return sent.groupBy("owner").applyInArrow(add_up, "batch bigint, items binary, totals binary")
-
-
-class Totals:
-    """The counts that a batch got back; anything else it holds occurs once in all texts."""
-
-    def __init__(self, table: pa.Table):
-        parts = [unpacked(x.as_py()) for x in table.column("items")]
-        totals = [np.frombuffer(x.as_py(), "<u8") for x in table.column("totals")]
-        self.items = np.concatenate([np.zeros(0, np.uint64), *parts])
-        order = np.argsort(self.items)
-        self.items = self.items[order]
-        self.totals = np.concatenate([np.zeros(0, np.uint64), *totals])[order].astype(np.int64)
-
-    def of(self, items: np.ndarray) -> np.ndarray:
-        if not len(self.items):
-            return np.ones(len(items), np.int64)
-        place = np.minimum(np.searchsorted(self.items, items), len(self.items) - 1)
-        return np.where(self.items[place] == items, self.totals[place], 1)
+        "text_hash": F.xxhash64("text"), "batch": F.pmod(F.xxhash64("key", "text"), F.lit(n))}), n, total
+
+
+def _bounds(n: int, bits: int) -> np.ndarray:
+    return np.array([(k << bits) // n for k in range(1, n)], np.uint64)
+
+
+@dataclass(frozen=True)
+class Counting:
+    """``n`` owners of hashes of ``bits`` bits; ``items`` hashes what a batch's texts hold."""
+
+    n: int
+    bits: int
+    items: Callable[[pa.Table], np.ndarray]
+
+    def cut(self, items: np.ndarray) -> np.ndarray:
+        return items >> np.uint64(64 - self.bits)
+
+    def parts(self, found: np.ndarray) -> list[tuple[int, int]]:
+        """Where each owner's items are among sorted ones."""
+        cuts = [0, *np.searchsorted(found, _bounds(self.n, self.bits)).tolist(), len(found)]
+        return list(zip(cuts, cuts[1:]))
+
+    def repeated(self, batches: DataFrame) -> DataFrame:
+        """Answers: ``batch``, ``owner``, ``more`` (a bit per item) and ``totals`` of those."""
+        def send(table: pa.Table) -> pa.Table:
+            batch = table.column("batch")[0].as_py()
+            found, counts = np.unique(self.cut(self.items(table)), return_counts=True)
+            rows = [(k, packed(found[a:b]), counts[a:b].astype("<u4").tobytes())
+                    for k, (a, b) in enumerate(self.parts(found)) if a < b]
+            return pa.table({
+                "owner": pa.array([r[0] for r in rows], pa.int64()),
+                "batch": pa.array([batch] * len(rows), pa.int64()),
+                "items": pa.array([r[1] for r in rows], pa.binary()),
+                "counts": pa.array([r[2] for r in rows], pa.binary())})
+
+        def add_up(table: pa.Table) -> pa.Table:
+            parts = [unpacked(x.as_py()) for x in table.column("items")]
+            counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
+            _, places = np.unique(np.concatenate(parts), return_inverse=True)
+            totals = np.bincount(places, counts)[places].astype(np.uint64)
+            ends = np.cumsum([len(p) for p in parts]).tolist()
+            more = [totals[a:b] for a, b in zip([0, *ends], ends)]
+            return pa.table({
+                "batch": table.column("batch"), "owner": table.column("owner"),
+                "more": pa.array([np.packbits(t > 1).tobytes() for t in more], pa.binary()),
+                "totals": pa.array([t[t > 1].astype("<u8").tobytes() for t in more], pa.binary())})
+
+        sent = batches.groupBy("batch").applyInArrow(
+            send, "owner bigint, batch bigint, items binary, counts binary")
+        return sent.groupBy("owner").applyInArrow(
+            add_up, "batch bigint, owner bigint, more binary, totals binary")
+
+    def totals(self, items: np.ndarray, answers: pa.Table) -> np.ndarray:
+        """How often each item of a batch, in any order, occurs in all texts."""
+        found, places = np.unique(self.cut(items), return_inverse=True)
+        totals = np.ones(len(found), np.int64)
+        parts = self.parts(found)
+        for owner, more, counts in zip(*(answers.column(c).to_pylist() for c in ("owner", "more", "totals"))):
+            a, b = parts[owner]
+            bits = np.unpackbits(np.frombuffer(more, np.uint8), count=b - a).astype(bool)
+            totals[a:b][bits] = np.frombuffer(counts, "<u8")
+        return totals[places]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelyard.llm.frames import pick
-from panelyard.llm.gram_counts import BATCH_BYTES, Totals, in_batches, repeated
+from panelyard.llm.gram_counts import BATCH_BYTES, Counting, in_batches
 from panelyard.llm.units import chunks
 from panelyard.llm.wordhash import windows, word_hashes
 from panelyard.session import staged
@@ -61,16 +61,19 @@ def _by_word(values: np.ndarray, counts: np.ndarray, size: int, end: bool) -> np
     return out
 
 
-def scores(grams: list[np.ndarray], counts: np.ndarray, totals: Totals) -> tuple[np.ndarray, ...]:
-    """Per text: sum of logarithms without the division by N + 1, and words scored at each size."""
+def scores(grams: list[np.ndarray], counts: np.ndarray, totals: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Per text: sum of logarithms without the division by N + 1, and words scored at each size.
+
+    ``totals`` are the counts of ``grams`` in all texts.
+    """
     order, n_texts = len(grams), len(counts)
     text_of_word = np.repeat(np.arange(n_texts), counts)
     others = []
-    for size, own in enumerate(grams, 1):
+    for size, (own, total) in enumerate(zip(grams, totals), 1):
         kinds, place = np.unique(own, return_inverse=True)
         text = np.repeat(np.arange(n_texts), np.maximum(counts - size + 1, 0))
         _, again, here = np.unique(text * max(1, len(kinds)) + place, return_inverse=True, return_counts=True)
-        others.append(totals.of(kinds)[place] - here[again])
+        others.append(total - here[again])
     at_word = [_by_word(o, counts, size, True) for size, o in enumerate(others, 1)]
     log_score = np.full(len(text_of_word), np.nan)
     level = np.zeros(len(text_of_word), np.int64)
@@ -92,20 +95,25 @@ def scored(documents: DataFrame, order: int = ORDER, id_col: str = "doc_id", tex
            batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The id, ``n_words``, the words scored at each size and ``log_score``, their summed logarithms."""
     rows = pick(documents, id_col, text_col).toDF("key", "text")
-    batches, n = in_batches(rows, batch_bytes)
+    batches, n, size = in_batches(rows, batch_bytes)
     sizes = [f"n_{size}_gram" for size in range(1, order + 1)]
 
     def items(table: pa.Table) -> np.ndarray:
         return np.concatenate(grams_of(table.column("text"), order)[0])
 
-    def score(texts: pa.Table, counted: pa.Table) -> pa.Table:
+    # There are at most order * size / 2 n-grams. As many hashes as the square of that, up to
+    # 64 bits, hardly ever give two n-grams one hash.
+    counting = Counting(n, min(64, 2 * (order * size // 2 + 1).bit_length()), items)
+
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         grams, counts = grams_of(texts.column("text"), order)
-        raw, *by_size = scores(grams, counts, Totals(counted))
+        ends = np.cumsum([len(g) for g in grams])[:-1]
+        totals = np.split(counting.totals(np.concatenate(grams), answers), ends)
+        raw, *by_size = scores(grams, counts, totals)
         return pa.table([texts.column("key"), pa.array(counts, pa.int64()), pa.array(raw, pa.float64()),
                          *[pa.array(b, pa.int64()) for b in by_size]], names=["key", "n_words", "raw", *sizes])
 
-    counted = repeated(batches, n, items)
-    found = staged(batches.groupBy("batch").cogroup(counted.groupBy("batch")).applyInArrow(
+    found = staged(batches.groupBy("batch").cogroup(counting.repeated(batches).groupBy("batch")).applyInArrow(
         score, f"key {rows.schema['key'].dataType.simpleString()}, n_words bigint, raw double, "
         + ", ".join(f"{s} bigint" for s in sizes)), "scores")
     words = found.agg(F.sum("n_words")).first()[0] or 0
