@@ -5,6 +5,37 @@ Nothing is taken from the operators: bounds and words are written out here again
 
 from __future__ import annotations
 
+OP1 = r"""
+WITH t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w FROM documents),
+words AS (
+  SELECT doc_id, len(w) AS n, unnest(list_transform(range(1, len(w) + 1), lambda i: {
+    'spot': i, 'g1': w[i], 'g2': CASE WHEN i > 1 THEN w[i - 1] || ' ' || w[i] END,
+    'g3': CASE WHEN i > 2 THEN w[i - 2] || ' ' || w[i - 1] || ' ' || w[i] END}), recursive := true)
+  FROM t),
+others AS (
+  SELECT doc_id, n, spot,
+    count(*) OVER (PARTITION BY g1) - count(*) OVER (PARTITION BY doc_id, g1) AS c1,
+    count(g2) OVER (PARTITION BY g2) - count(g2) OVER (PARTITION BY doc_id, g2) AS c2,
+    count(g3) OVER (PARTITION BY g3) - count(g3) OVER (PARTITION BY doc_id, g3) AS c3
+  FROM words),
+placed AS (
+  SELECT *, lag(c1) OVER doc AS before1, lag(c2) OVER doc AS before2
+  FROM others WINDOW doc AS (PARTITION BY doc_id ORDER BY spot)),
+sized AS (
+  SELECT *, CASE WHEN c3 > 0 THEN 3 WHEN c2 > 0 THEN 2 ELSE 1 END AS size FROM placed),
+scores AS (
+  SELECT doc_id, size, CASE size WHEN 3 THEN ln(c3 / before2) WHEN 2 THEN ln(c2 / before1)
+      ELSE ln(greatest(c1, 1) / ((SELECT count(*) FROM words) - n + 1)) END
+    + (least(spot, 3) - size) * ln(0.4) AS score FROM sized)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, count(*) FILTER (WHERE size = 1) AS n_1_gram,
+  count(*) FILTER (WHERE size = 2) AS n_2_gram, count(*) FILTER (WHERE size = 3) AS n_3_gram,
+  round(sum(score), 4) AS log_score
+FROM t LEFT JOIN scores USING (doc_id) GROUP BY t.doc_id, len(t.w)
+"""
+
 OP3 = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm
@@ -57,6 +88,7 @@ le la les de et un une du que qui en pour dans est au pas par sur avec ce il ell
 el los las y se del con una su para es al lo como por no""".split()))
 
 ORACLE: dict[str, str] = {
+    "op1_lm_scoring": OP1,
     "op3_exact_dedup": OP3,
     "op4_quality_rules": OP4,
 }
