@@ -5,6 +5,9 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,8 +68,29 @@ def scratch_root(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_RUN: ContextVar[str] = ContextVar("panelyard_run", default="")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/panelyard/{uuid.uuid4().hex}/{name}"
+    return f"{scratch_root(spark)}/panelyard/{_RUN.get()}{uuid.uuid4().hex}/{name}"
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Removes what was staged inside the block when it ends, also after an error.
+
+    Nothing that is still to be read may be left in it: results are to be written to
+    a folder of their own before.
+    """
+    name = f"run-{uuid.uuid4().hex}/"
+    token = _RUN.set(_RUN.get() + name)
+    folder = f"{scratch_root(spark)}/panelyard/{_RUN.get()}"
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

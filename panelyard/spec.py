@@ -108,6 +108,14 @@ class Layers:
     def raw(self) -> str:
         return f"{self.root}/raw/{self.raw_name}"
 
+    @property
+    def unique(self) -> str:
+        return f"{self.root}/interim/itens_unicos.parquet"
+
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/interim/rejeitados.parquet"
+
     @property
     def kept(self) -> str:
         return f"{self.root}/interim/itens_limpos.parquet"
