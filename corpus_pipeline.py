@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from panelyard.llm import exact_dedup, jaccard_join, language_id, packing, secret_scan
 from panelyard.llm.frames import documents, ship
-from panelyard.session import scratch_path
+from panelyard.session import scratch_path, scratch_run
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,6 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_run(spark):  # what a stage has staged goes when it is written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
