@@ -8,8 +8,7 @@ again (the exchange of the texts is used twice) and looks the counts up.
 
 However frequent an item, a batch sends it once, and ranges of hashes are even, so no
 task gets more than its share. One message between a batch and an owner is one row:
-its items are sorted, so they travel as differences, byte plane by byte plane, which
-the shuffle's compression shortens. The answer is a bit per item and the counts of
+its items are sorted, so they travel as compressed differences. The answer is a bit per item and the counts of
 those that occur more often. Hashes are cut to the bits that the caller needs.
 """
 
@@ -26,15 +25,24 @@ from pyspark.sql import functions as F
 BATCH_BYTES = 8 << 20
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte plane by byte plane, compressed: small ones have empty planes."""
+    raw = values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
 def packed(values: np.ndarray) -> bytes:
-    """Sorted unsigned numbers as differences, byte plane by byte plane."""
-    values = values.astype("<u8")
-    return np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted unsigned numbers as their differences."""
+    return planes(np.diff(values.astype("<u8"), prepend=np.uint64(0)))
 
 
-def unpacked(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data), dtype=np.uint64)
 
 
 def in_batches(documents: DataFrame, batch_bytes: int = BATCH_BYTES) -> tuple[DataFrame, int, int]:
@@ -70,7 +78,7 @@ class Counting:
         def send(table: pa.Table) -> pa.Table:
             batch = table.column("batch")[0].as_py()
             found, counts = np.unique(self.cut(self.items(table)), return_counts=True)
-            rows = [(k, packed(found[a:b]), counts[a:b].astype("<u4").tobytes())
+            rows = [(k, packed(found[a:b]), planes(counts[a:b]))
                     for k, (a, b) in enumerate(self.parts(found)) if a < b]
             return pa.table({
                 "owner": pa.array([r[0] for r in rows], pa.int64()),
@@ -80,15 +88,15 @@ class Counting:
 
         def add_up(table: pa.Table) -> pa.Table:
             parts = [unpacked(x.as_py()) for x in table.column("items")]
-            counts = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("counts")])
+            counts = np.concatenate([from_planes(x.as_py()) for x in table.column("counts")])
             _, places = np.unique(np.concatenate(parts), return_inverse=True)
-            totals = np.bincount(places, counts)[places].astype(np.uint64)
+            totals = np.bincount(places, counts.astype(float))[places].astype(np.uint64)
             ends = np.cumsum([len(p) for p in parts]).tolist()
             more = [totals[a:b] for a, b in zip([0, *ends], ends)]
             return pa.table({
                 "batch": table.column("batch"), "owner": table.column("owner"),
                 "more": pa.array([np.packbits(t > 1).tobytes() for t in more], pa.binary()),
-                "totals": pa.array([t[t > 1].astype("<u8").tobytes() for t in more], pa.binary())})
+                "totals": pa.array([planes(t[t > 1]) for t in more], pa.binary())})
 
         sent = batches.groupBy("batch").applyInArrow(
             send, "owner bigint, batch bigint, items binary, counts binary")
@@ -103,5 +111,5 @@ class Counting:
         for owner, more, counts in zip(*(answers.column(c).to_pylist() for c in ("owner", "more", "totals"))):
             a, b = parts[owner]
             bits = np.unpackbits(np.frombuffer(more, np.uint8), count=b - a).astype(bool)
-            totals[a:b][bits] = np.frombuffer(counts, "<u8")
+            totals[a:b][bits] = from_planes(counts)
         return totals[places]

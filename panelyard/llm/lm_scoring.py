@@ -101,9 +101,9 @@ def scored(documents: DataFrame, order: int = ORDER, id_col: str = "doc_id", tex
     def items(table: pa.Table) -> np.ndarray:
         return np.concatenate(grams_of(table.column("text"), order)[0])
 
-    # There are at most order * size / 2 n-grams. As many hashes as the square of that, up to
-    # 64 bits, hardly ever give two n-grams one hash.
-    counting = Counting(n, min(64, 2 * (order * size // 2 + 1).bit_length()), items)
+    # With four bytes a word there are order * size / 4 n-grams. As many hashes as the square of
+    # that, up to 64 bits, hardly ever give two n-grams one hash.
+    counting = Counting(n, min(64, 2 * (order * size // 4 + 16).bit_length()), items)
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         grams, counts = grams_of(texts.column("text"), order)
