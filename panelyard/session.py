@@ -39,8 +39,6 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **conf: str) -> Spa
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName("panelyard")
                .config("spark.sql.shuffle.partitions", str(parallel))
                .config("spark.driver.memory", memory)
-               # A few dozen megabytes should still occupy all cores.
-               .config("spark.sql.files.maxPartitionBytes", "16m")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     for name, value in {**SESSION_CONF, **conf}.items():
