@@ -27,6 +27,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,16 @@ class ExactDedup:
         rows.write.mode("append").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def scanned(self, documents: DataFrame) -> DataFrame:
+        """``documents`` if they are read from files; else a copy with all columns that is."""
+        try:
+            self.located(documents)
+            return documents
+        except AnalysisException:
+            path = f"{self.folder}/rows/{uuid.uuid4().hex}"
+            numbered(documents).write.parquet(path)
+            return self.spark.read.parquet(path).toDF(*documents.columns)
+
     def add(self, documents: DataFrame) -> None:
         """Takes new documents, a plain scan of files, into the state."""
         rows = self.located(documents)

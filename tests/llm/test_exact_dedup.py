@@ -73,6 +73,18 @@ def test_empty_table_and_clashing_names(docs, spark, tmp_path):
     assert dedup.survivors(read).columns == odd.columns and dedup.survivors(read).count() == 1
 
 
+def test_tables_that_are_not_files_are_copied(docs, spark, tmp_path):
+    made = docs([(1, "a"), (2, "a"), (3, "b")]).withColumn("c0", F.lit("x"))
+    dedup = ExactDedup(spark, str(tmp_path / "d"))
+    source = dedup.scanned(made)
+    assert source.columns == made.columns
+    dedup.add(source)
+    assert sorted(r["doc_id"] for r in dedup.survivors(source).collect()) == [1, 3]
+    made.write.parquet(str(tmp_path / "files"))
+    read = spark.read.parquet(str(tmp_path / "files"))
+    assert dedup.scanned(read) is read
+
+
 def test_query_plan_has_no_python(spark, sf):
     from panelyard.llm.queries import QUERIES
 
