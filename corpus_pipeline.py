@@ -26,6 +26,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest id stays."""
     dedup = exact_dedup.ExactDedup(spark, scratch_path(spark, "pipeline_dedup"))
+    docs = dedup.scanned(docs)
     dedup.add(docs)
     return dedup.survivors(docs)
 
