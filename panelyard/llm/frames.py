@@ -54,3 +54,5 @@ def ship(spark: SparkSession) -> None:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+    # Long texts: a worker holds few of them at a time.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

@@ -160,8 +160,8 @@ SCHEMA = pa.schema([
     ("place", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("loss_tokens", pa.int64()),
     ("ids", pa.binary()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()),
     ("offset", pa.int64()), ("padded_to", pa.int64())])
-BLOCK_TOKENS, BLOCK_EXAMPLES = 1 << 22, 1 << 14
-OUT_BYTES = 16 << 20
+BLOCK_TOKENS, BLOCK_EXAMPLES = 1 << 21, 1 << 14
+OUT_BYTES = 8 << 20
 
 
 class _Packer:
