@@ -206,14 +206,20 @@ def predict(documents: DataFrame, prototypes: Prototypes, id_col: str = "doc_id"
 
 
 def recognised(documents: DataFrame, prototypes: Prototypes, text_col: str = "text") -> DataFrame:
-    """``documents``, all columns, without those whose language is ``und``."""
+    """``documents``, all columns, without those whose language is ``und``.
+
+    Without any prototype there is nothing to tell languages by: those with letters stay.
+    """
     place = documents.columns.index(text_col)
     plain = numbered(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in _chunks(batch, place):
-                kept = [name != UNKNOWN for name in judge(texts, prototypes)[0]]
+                if prototypes.languages:
+                    kept = [name != UNKNOWN for name in judge(texts, prototypes)[0]]
+                else:
+                    kept = [bool(has) for has in grams(texts).has_letters]
                 yield batch.slice(start, len(texts)).filter(pa.array(kept, pa.bool_()))
 
     return named(plain.mapInArrow(run, plain.schema), documents)

@@ -88,6 +88,13 @@ def test_stages_by_hand(spark, table):
     assert got == want
 
 
+def test_nothing_to_learn_languages_from(spark, table):
+    rows = [(i, text, None, source) for i, text, _, source in corpus()[:20]] + [(102, "12 !! 34", None, None)]
+    for name, some in (("unlabelled", rows), ("without_ids", [(None, t, "en", s) for _, t, _, s in rows])):
+        kept = STAGE["language_id"](spark, table(some, name), "").collect()
+        assert sorted(r["text"] for r in kept) == sorted(t for _, t, _, _ in rows[:-1]), name
+
+
 def test_empty_table(spark, table):
     docs = table([])
     for name, stage in corpus_pipeline.STAGES[:-1]:
