@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from public_tokenizers import path as tokenizer
@@ -15,6 +16,8 @@ from panelyard.llm import (
     language_id,
     lm_scoring,
     packing,
+    periodic_runs,
+    pieces,
     quality_rules,
     secret_scan,
     site_quality,
@@ -80,6 +83,39 @@ def op10_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_quality.scored(placed, labels, host_col="source", path_col="path")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encoded(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return encoded.select("doc_id", "n_tokens", F.sha2(listed, 256).alias("ids_sha256"),
+                          F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def _with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document repeats its own words from some place on; not without an id."""
+    if doc_id is None or not words:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10:
+        return words
+    start, by = h // 10 % n, 3 + h // 10 % 8
+    period = 1 + (n - start) // by
+    return words[:start] + [words[start + k % period] for k in range(n - start)]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(documents(spark, sf_dir), reworded=_with_planted_period)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(
+        r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))))
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_token_store": op2_token_store,
@@ -91,4 +127,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_packing": op9_packing,
     "op10_site_quality": op10_site_quality,
+    "op11_sentencepiece": op11_sentencepiece,
+    "op13_periodic_runs": op13_periodic_runs,
 }
