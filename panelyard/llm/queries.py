@@ -18,6 +18,7 @@ from panelyard.llm import (
     packing,
     periodic_runs,
     pieces,
+    prefix_trie,
     quality_rules,
     secret_scan,
     site_quality,
@@ -90,6 +91,14 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    conv = F.col("conv_id")
+    found = prefix_trie.trie(conversations, lender=conv - conv % 5,
+                             n_lent=F.crc32(conv.cast("string")) % 9, most_lent=8)
+    return found.withColumnRenamed("saved_bytes", "saved_tokens")
+
+
 def _with_planted_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Every tenth document repeats its own words from some place on; not without an id."""
     if doc_id is None or not words:
@@ -128,5 +137,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_site_quality": op10_site_quality,
     "op11_sentencepiece": op11_sentencepiece,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_periodic_runs": op13_periodic_runs,
 }
