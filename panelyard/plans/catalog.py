@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from panelyard.functions import scalars
 from panelyard.functions.calendar import chunk_grid
 from panelyard.operators import checks, chunks, features, folds, items, panel, reports, transform
-from panelyard.plans.collect import collect
+from panelyard.plans.collect import collect, rejected_pages
 from panelyard.plans.prepare import load_items, run_stages
 from panelyard.plans.star import (FEED_ORDER, SPEC, kept_layer, lines_first, raw_feed, table,
                                   typed_items, unique_items, with_roles)
@@ -358,7 +358,24 @@ def page_rows(spark: SparkSession, folder: str) -> DataFrame:
 def page_completeness(spark: SparkSession, folder: str) -> DataFrame:
     """State of every chunk's landed pages."""
     landed = _landed_pages(spark, folder)
-    return pages.page_completeness(pages.parse_pages(landed, "payload", _EVENT_RECORD))
+    states = pages.page_completeness(pages.parse_pages(landed, "payload", _EVENT_RECORD))
+    return states.drop("n_broken")
+
+
+def _cut_off(landed: DataFrame) -> DataFrame:
+    """Every third page loses the second half of its text."""
+    half = F.expr("substring(payload, 1, length(payload) div 2)")
+    return landed.withColumn("payload", F.when(F.col("page") % 3 == 2, half).otherwise(F.col("payload")))
+
+
+@query
+def broken_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """State of every page when some are cut off and some never came, and how many records
+    each chunk serves then."""
+    landed = _cut_off(_landed_pages(spark, folder)).where("page % 5 <> 4")
+    parsed = pages.parse_pages(landed, "payload", _EVENT_RECORD)
+    facts = pages.page_completeness(parsed).select("chunk_start", "n_records", "n_broken", "complete")
+    return pages.page_states(parsed).join(facts, "chunk_start")
 
 
 @query
@@ -379,6 +396,32 @@ def collected_chunks(spark: SparkSession, folder: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_events")))
 
 
+@query
+def collected_after_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """The collector meets broken pages, leaves their chunks open, and closes them in the run
+    after whole copies have landed: events and rejected pages per chunk, and its state."""
+    root = scratch_path(spark, "repair")
+    landed = _landed_pages(spark, folder)
+    window = _event_window(spark, folder).first()
+    spec = CollectSpec(end_date=window["last"], window_days=(window["last"] - window["first"]).days,
+                       chunk_days=CHUNK_DAYS, columns=("event_id", "event_type", "value"))
+    states = []
+    for part in (_cut_off(landed), landed.where("page % 3 = 2")):
+        _one_json_page_a_line(part).write.mode("append").partitionBy("chunk_start").text(f"{root}/pages")
+        states.append(collect(spark, spec, f"{root}/pages", pages.text_record(_EVENT_RECORD.names),
+                              f"{root}/table", f"{root}/manifest", window["last"] + timedelta(days=CHUNK_DAYS),
+                              one_per_file=False))
+    events = spark.read.parquet(f"{root}/table").groupBy("chunk_start").agg(
+        F.count_distinct("event_id").alias("n_events"))
+    rejected = spark.read.parquet(rejected_pages(f"{root}/table")).groupBy("chunk_start").agg(
+        F.count(F.lit(1)).alias("n_rejected"))
+    first = states[0].select("chunk_start", F.col("closed").alias("closed_at_once"))
+    done = manifest.load_manifest(spark, f"{root}/manifest").select("chunk_start", F.lit(True).alias("closed"))
+    return (events.join(rejected, "chunk_start", "left").join(first, "chunk_start").join(done, "chunk_start", "left")
+            .select("chunk_start", "n_events", F.coalesce("n_rejected", F.lit(0)).alias("n_rejected"),
+                    "closed_at_once", F.coalesce("closed", F.lit(False)).alias("closed")))
+
+
 @query
 def landing_append(spark: SparkSession, folder: str) -> DataFrame:
     """Two appends to one table: the first pins the columns for the second."""

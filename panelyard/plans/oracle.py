@@ -369,6 +369,29 @@ SELECT chunk_start, count(*) * CASE WHEN chunk_start + {CHUNK_DAYS} <= last THEN
        count(*) AS n_events
 FROM assigned CROSS JOIN (SELECT CAST(max(ts) AS DATE) AS last FROM events)
 GROUP BY chunk_start, last""",
+    "broken_pages": f"""WITH {PAGES},
+numbers AS (SELECT DISTINCT chunk_start, page FROM paged),
+landed AS (SELECT * FROM numbers WHERE page % 5 <> 4),
+ends AS (SELECT chunk_start, max(page) AS last_page FROM landed GROUP BY 1),
+lasts AS (SELECT chunk_start, max(page) AS whole FROM numbers GROUP BY 1),
+states AS (
+  SELECT chunk_start, page, CASE WHEN there IS NULL THEN 'missing' WHEN page % 3 = 2 THEN 'broken'
+                                 ELSE 'served' END AS state
+  FROM (SELECT chunk_start, CAST(unnest(range(1, last_page + 1)) AS INTEGER) AS page FROM ends)
+  LEFT JOIN (SELECT *, 1 AS there FROM landed) USING (chunk_start, page)),
+facts AS (
+  SELECT chunk_start, count(*) FILTER (WHERE state = 'broken') AS n_broken,
+         bool_and(state = 'served') AND max(page) = any_value(whole) AS complete
+  FROM states JOIN lasts USING (chunk_start) GROUP BY 1),
+records AS (SELECT chunk_start, count(*) AS n_records FROM paged
+            WHERE page % 5 <> 4 AND page % 3 <> 2 GROUP BY 1)
+SELECT chunk_start, page, state, coalesce(n_records, 0) AS n_records, n_broken, complete
+FROM states JOIN facts USING (chunk_start) LEFT JOIN records USING (chunk_start)""",
+    "collected_after_repair": f"""WITH {PAGES},
+broken AS (SELECT chunk_start, count(DISTINCT page) AS n FROM paged WHERE page % 3 = 2 GROUP BY 1)
+SELECT chunk_start, count(*) AS n_events, 2 * coalesce(any_value(n), 0) AS n_rejected,
+       any_value(n) IS NULL AS closed_at_once, true AS closed
+FROM paged LEFT JOIN broken USING (chunk_start) GROUP BY 1""",
     "landing_append": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
     "csv_round_trip": """SELECT doc_id, lang, source, md5(coalesce(text, '')) AS text_md5,
        CAST(length(coalesce(text, '')) AS INTEGER) AS length, CAST(n_chars AS BIGINT) AS n_chars
