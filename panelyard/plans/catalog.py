@@ -9,6 +9,7 @@ from __future__ import annotations
 import dataclasses
 from datetime import date, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -648,14 +649,6 @@ def weekly_event_stream(spark: SparkSession, folder: str) -> DataFrame:
     return feed.current_totals(spark, f"{target}/table")
 
 
-def _order_line_files(spark: SparkSession, folder: str, parts: list[DataFrame]) -> str:
-    """Order lines as Parquet files, one per part, in this order of time."""
-    path = scratch_path(spark, "line_stream")
-    for n, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{path}/{n}")
-    return path
-
-
 def _delivered(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as events; the table itself holds some of them more than once."""
     return table(spark, folder, "lineitem").select(
@@ -664,47 +657,108 @@ def _delivered(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(1.0).alias("value"))
 
 
-def _streamed(spark: SparkSession, path: str, target: str, schema, lateness: str) -> DataFrame:
-    stream = feed.stream_parquet(spark, f"{path}/*", schema, files_per_batch=1)
+def _in_turn(parts: list[DataFrame], path: str, run) -> None:
+    """Lands the parts one after the other and runs the stream on each."""
+    for n, part in enumerate(parts):
+        part.write.parquet(f"{path}/{n}")
+        run()
+
+
+def _unique_totals(spark: SparkSession, path: str, target: str, schema, lateness: str, after=None) -> None:
+    stream = feed.stream_parquet(spark, f"{path}/*", schema)
     unique = feed.unique_within_watermark(stream, "event_id", "ts", lateness)
     totals = feed.chunk_totals(unique, "ts", "kind", "value", CHUNK_DAYS, SPEC.sum_scale)
-    feed.write_changes(totals, f"{target}/table", f"{target}/checkpoint").awaitTermination()
-    return feed.current_totals(spark, f"{target}/table")
+    feed.write_changes(totals, f"{target}/table", f"{target}/checkpoint", after).awaitTermination()
 
 
 @query
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines delivered twice, in two files: each is counted once."""
+    """Order lines delivered twice: each is counted once."""
     lines = _delivered(spark, folder).withColumn("kind", F.lit("line"))
-    path = _order_line_files(spark, folder, [lines, lines])
-    return _streamed(spark, path, scratch_path(spark, "stream"), lines.schema, "40 days")
+    path, target = scratch_path(spark, "line_stream"), scratch_path(spark, "stream")
+    _in_turn([lines, lines], path, lambda: _unique_totals(spark, path, target, lines.schema, "40 days"))
+    return feed.current_totals(spark, f"{target}/table")
 
 
-@query
-def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines that come weeks behind the watermark do not change a window that is closed."""
+def _late_parts(spark: SparkSession, folder: str) -> tuple[list[DataFrame], T.StructType]:
+    """Lines of January, then of March, then again of January."""
     lines = _delivered(spark, folder).dropDuplicates(["event_id"]).withColumn("kind", F.lit("line"))
-    early = lines.where("l_orderkey % 2 = 0")
     later = lines.where("l_orderkey % 4 = 1").withColumn("ts", F.lit("2024-03-05").cast("timestamp"))
-    late = lines.where("l_orderkey % 4 = 3")
     # A row is late by the watermark that the batch before the last one had reached.
-    path = _order_line_files(spark, folder, [early, later.where("l_linenumber <= 3"),
-                                             later.where("l_linenumber > 3"), late])
-    return _streamed(spark, path, scratch_path(spark, "stream"), lines.schema, "7 days")
+    return [lines.where("l_orderkey % 2 = 0"), later.where("l_linenumber <= 3"),
+            later.where("l_linenumber > 3"), lines.where("l_orderkey % 4 = 3")], lines.schema
+
+
+@query
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that come weeks behind the watermark do not change a window that is closed."""
+    parts, schema = _late_parts(spark, folder)
+    path, target = scratch_path(spark, "line_stream"), scratch_path(spark, "stream")
+    _in_turn(parts, path, lambda: _unique_totals(spark, path, target, schema, "7 days"))
+    return feed.current_totals(spark, f"{target}/table")
+
+
+@query
+def stream_late_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines where late ones are counted, and are also in a table of their own."""
+    parts, schema = _late_parts(spark, folder)
+    path, target = scratch_path(spark, "line_stream"), scratch_path(spark, "stream")
+
+    def run() -> None:
+        stream = feed.stream_parquet(spark, f"{path}/*", schema)
+        feed.write_counted(stream, "ts", "kind", "value", f"{target}/table", f"{target}/checkpoint",
+                           timedelta(days=7), CHUNK_DAYS, SPEC.sum_scale).awaitTermination()
+        feed.compact_counted(spark, f"{target}/table")
+
+    _in_turn(parts, path, run)
+    side = feed.late_rows(spark, f"{target}/table").groupBy(F.col("kind").alias("tipo")).agg(
+        F.count_distinct("event_id").alias("n_late_ids"))
+    return feed.counted_totals(spark, f"{target}/table").join(side, "tipo")
 
 
 @query
 def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream that is stopped after each file, and its table compacted, goes on where it was."""
+    """A stream that dies in its second batch, after writing and before committing it, and whose
+    table is compacted then and after each other batch, goes on where it was."""
     lines = _delivered(spark, folder).dropDuplicates(["event_id"]).withColumn("kind", F.lit("line"))
     path, target = scratch_path(spark, "line_stream"), scratch_path(spark, "stream")
-    for n in range(3):
-        lines.where(F.pmod("l_orderkey", F.lit(3)) == n).coalesce(1).write.parquet(f"{path}/{n}")
-        _streamed(spark, path, target, lines.schema, "40 days")
+    deaths = [False, True, False]
+
+    def die(epoch: int) -> None:
+        raise RuntimeError("stopped inside a batch")
+
+    def run() -> None:
+        if deaths.pop(0):
+            try:
+                _unique_totals(spark, path, target, lines.schema, "40 days", die)
+            except StreamingQueryException:
+                feed.compact(spark, f"{target}/table")
+        _unique_totals(spark, path, target, lines.schema, "40 days")
         feed.compact(spark, f"{target}/table")
+
+    _in_turn([lines.where(F.pmod("l_orderkey", F.lit(3)) == n) for n in range(3)], path, run)
     return feed.current_totals(spark, f"{target}/table")
 
 
+@query
+def stream_first_wins(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a stream in which first copies come last, years behind the others: what
+    is kept equals the batch dedup."""
+    lines = table(spark, folder, "lineitem")
+    path, target = scratch_path(spark, "line_stream"), scratch_path(spark, "stream")
+    keys = ["l_orderkey", "l_linenumber"]
+
+    def run() -> None:
+        first = feed.first_copies(feed.stream_parquet(spark, f"{path}/*", lines.schema), keys, FEED_ORDER)
+        feed.write_changes(first, f"{target}/table", f"{target}/checkpoint").awaitTermination()
+        feed.compact(spark, f"{target}/table", keys)
+
+    year = F.year("l_shipdate")
+    _in_turn([lines.where(year >= 2000), lines.where((year >= 1997) & (year < 2000)),
+              lines.where(F.coalesce(year < 1997, F.lit(True)))], path, run)
+    return feed.current_rows(spark, f"{target}/table", keys)
+
+
 # --- folds and model-facing features ---------------------------------------------
 
 @query

@@ -431,6 +431,13 @@ FROM (SELECT DISTINCT l_orderkey, l_linenumber,
       FROM lineitem WHERE l_orderkey % 2 = 0 OR l_orderkey % 4 = 1) GROUP BY 1""",
     "stream_restart": """SELECT DATE '2024-01-08' AS chunk_start, 'line' AS tipo, count(*) AS n_itens,
        CAST(count(*) AS DOUBLE) AS valor_total FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""",
+    "stream_late_kept": """SELECT chunk_start, 'line' AS tipo, count(*) AS n_itens,
+       CAST(count(*) AS DOUBLE) AS valor_total, count(*) FILTER (WHERE late) AS n_atrasados,
+       any_value(n_late_ids) AS n_late_ids
+FROM (SELECT *, l_orderkey % 4 = 3 AS late, count(*) FILTER (WHERE l_orderkey % 4 = 3) OVER () AS n_late_ids,
+             CASE WHEN l_orderkey % 4 = 1 THEN DATE '2024-03-04' ELSE DATE '2024-01-08' END AS chunk_start
+      FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) GROUP BY 1""",
+    "stream_first_wins": dedup("ASC"),
     "prepared_from_csv": f"WITH {panel('W')} SELECT * FROM panel",
     "weekly_event_stream": EVENT_TOTALS,
     "temporal_folds": f"""WITH {panel('W')}, {FOLD_RULE.format(source='panel', n=FOLDS)}
