@@ -457,11 +457,11 @@ def _text_files(lines: DataFrame, header: str, path: str, files: int = 8) -> Non
      .select("value", "part").write.mode("append").partitionBy("part").text(path))
 
 
-def _unfinished_file(spark: SparkSession, path: str, text: str) -> None:
+def _unfinished_file(spark: SparkSession, path: str, text: str, mode: str = "append") -> None:
     """A file with exactly this text. The writer ends every row with a separator: here
     the last character."""
     row = spark.range(1).select(F.lit(text[:-1]).alias("value")).coalesce(1)
-    row.write.mode("append").option("lineSep", text[-1]).text(path)
+    row.write.mode(mode).option("lineSep", text[-1]).text(path)
 
 
 @query
@@ -537,11 +537,23 @@ def csv_open_quote(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def csv_changed_while_read(spark: SparkSession, folder: str) -> DataFrame:
-    """Files that change during the read: the unfinished row is kept, and this is noted."""
-    looks = iter([0, 1])
-    raw = csv_items.scan_csv(spark, _damaged(spark, folder, "-7,e"), fingerprint=lambda *_: next(looks))
+    """Of two files that end in half a row one is written on during the read: its row is
+    kept, the other's is dropped, and both are noted."""
+    path = _damaged(spark, folder, "-7,e")
+    _unfinished_file(spark, f"{path}/part=98", "id,lang\n-8,e")
+    looks = []
+
+    def look(*args) -> DataFrame:
+        found = csv_items.listing(*args)
+        if not looks:
+            _unfinished_file(spark, f"{path}/part=99", "id,lang\n-7,en\n-9,d", "overwrite")
+        looks.append(1)
+        return found
+
+    raw = csv_items.scan_csv(spark, path, listing=look)
     return raw.rows.select(F.col("id").cast("long").alias("doc_id"), "lang",
-                           F.lit(raw.notes["changed"]).alias("changed"))
+                           F.lit(raw.notes["changed"]).alias("changed"),
+                           F.lit(raw.notes["torn_files"]).cast("long").alias("torn_files"))
 
 
 @query

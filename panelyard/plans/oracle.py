@@ -405,8 +405,8 @@ FROM documents""",
     "csv_torn_tail": """SELECT doc_id, lang, 1 AS torn_files FROM documents
 UNION ALL SELECT -5, 'en', 1""",
     "csv_open_quote": "SELECT 'open quote' AS state, count(*) AS n_documents FROM documents",
-    "csv_changed_while_read": """SELECT doc_id, lang, true AS changed FROM documents
-UNION ALL SELECT -7, 'e', true""",
+    "csv_changed_while_read": """SELECT doc_id, lang, true AS changed, 1 AS torn_files FROM documents
+UNION ALL VALUES (-7, 'en', true, 1), (-9, 'd', true, 1)""",
     "dedup_first_across_appends": """SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
        CAST(CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS run FROM lineitem""",
     "prepared_from_pages": f"WITH {panel('W')} SELECT * FROM panel",
