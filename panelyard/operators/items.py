@@ -76,8 +76,12 @@ def unique_items(raw: DataFrame, spec: PanelSpec, order: Sequence[str]) -> DataF
     The status filter comes after this on purpose: an id whose first copy is off
     status is gone even if a later copy is not.
     """
-    slim = only_ids_off_status(drop_dead_columns(raw), spec, order)
-    return typed(first_per_key(slim, [spec.columns.item_id], order), spec)
+    return typed(first_per_key(slim(raw, spec, order), [spec.columns.item_id], order), spec)
+
+
+def slim(raw: DataFrame, spec: PanelSpec, order: Sequence[str]) -> DataFrame:
+    """What the dedup needs of raw rows and what is left of them after it."""
+    return only_ids_off_status(drop_dead_columns(raw), spec, order)
 
 
 def matching(df: DataFrame, filters: Mapping[str, object]) -> DataFrame:

@@ -25,6 +25,7 @@ from panelyard.plans.star import (FEED_ORDER, SPEC, kept_layer, lines_first, raw
                                   typed_items, unique_items, with_roles)
 from panelyard.session import scratch_path, staged
 from panelyard.sources import csv_items, landing, manifest, pages
+from panelyard.sources.known_items import KnownItems
 from panelyard.spec import CollectSpec, Layers
 from panelyard.streaming import feed
 
@@ -568,6 +569,19 @@ def dedup_first_across_appends(spark: SparkSession, folder: str) -> DataFrame:
     return first.select(*[F.col(c).cast("long") for c in ("l_orderkey", "l_linenumber", "run")])
 
 
+@query
+def dedup_against_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines that come in three runs, each deduplicated against the ids that are known."""
+    lines = table(spark, folder, "lineitem")
+    item = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    known = KnownItems(spark, scratch_path(spark, "known_lines"), "item")
+    year = F.year("l_shipdate")
+    runs = F.when(year < 1997, 1).when(year < 2000, 2).otherwise(3)
+    for run in (1, 2, 3):
+        known.add(lines.where(runs == run).withColumn("item", item), FEED_ORDER, run)
+    return known.rows().drop("item")
+
+
 @query
 def prepared_from_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages to panel: the collector reads all chunks, later the open ones once more with

@@ -409,6 +409,7 @@ UNION ALL SELECT -5, 'en', 1""",
 UNION ALL VALUES (-7, 'en', true, 1), (-9, 'd', true, 1)""",
     "dedup_first_across_appends": """SELECT DISTINCT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
        CAST(CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE 2 END AS BIGINT) AS run FROM lineitem""",
+    "dedup_against_index": dedup("ASC"),
     "prepared_from_pages": f"WITH {panel('W')} SELECT * FROM panel",
     "staged_layers": f"""WITH {panel('W')},
 weeks AS (SELECT date_diff('week', min(date_trunc('week', "{ROLES.included_at}")),

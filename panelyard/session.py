@@ -66,6 +66,37 @@ def scratch_root(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it wants it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = file_system(spark, path)
+    files.delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = file_system(spark, path)
+    return files.exists(where)
+
+
+def make_marker(spark: SparkSession, path: str) -> None:
+    """An empty file that says that what it names is finished."""
+    files, where = file_system(spark, path)
+    files.create(where, True).close()
+
+
+def markers(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers of the markers in a folder, ascending."""
+    files, where = file_system(spark, folder)
+    if not files.exists(where):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(where)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
 _RUN: ContextVar[str] = ContextVar("panelyard_run", default="")
 
 
@@ -87,8 +118,7 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _RUN.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, folder)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -112,6 +112,11 @@ class Layers:
     def unique(self) -> str:
         return f"{self.root}/interim/itens_unicos.parquet"
 
+    @property
+    def known(self) -> str:
+        """Unique items of a collected table, run by run, and the index of their ids."""
+        return f"{self.root}/interim/itens_conhecidos"
+
     @property
     def rejects(self) -> str:
         return f"{self.root}/interim/rejeitados.parquet"

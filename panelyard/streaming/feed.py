@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from panelyard.functions.calendar import chunk_start, chunk_window_offset
 from panelyard.functions.scalars import money_sum
+from panelyard.session import delete, exists, make_marker, markers
 
 TOTAL_KEYS = ("chunk_start", "tipo")
 Merge = Callable[[DataFrame], DataFrame]
@@ -77,29 +78,12 @@ class Changes:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _files(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
-    def exists(self, path: str) -> bool:
-        files, where = self._files(path)
-        return files.exists(where)
-
-    def _remove(self, path: str) -> None:
-        files, where = self._files(path)
-        files.delete(where, True)
-
     def finished(self, part: str) -> list[int]:
         """Numbers of the finished folders: one for each batch since the last compaction."""
-        files, where = self._files(f"{self.path}/{part}/_finished")
-        if not files.exists(where):
-            return []
-        return sorted(int(s.getPath().getName()) for s in files.listStatus(where)
-                      if s.getPath().getName().isdigit())
+        return markers(self.spark, f"{self.path}/{part}/_finished")
 
     def mark(self, part: str, number: int) -> None:
-        files, where = self._files(f"{self.path}/{part}/_finished/{number}")
-        files.create(where, True).close()
+        make_marker(self.spark, f"{self.path}/{part}/_finished/{number}")
 
     def write_batch(self, batch: DataFrame, epoch: int) -> None:
         """Writes a batch's changes. What a finished batch has written stays when it is repeated;
@@ -146,15 +130,15 @@ class Changes:
         self.mark("base", folded[-1])
         if base is not None:
             for n in [n for n in epochs if n <= base]:
-                self._remove(f"{self.path}/changes/_finished/{n}")
-                self._remove(f"{self.path}/changes/epoch={n}")
+                delete(self.spark, f"{self.path}/changes/_finished/{n}")
+                delete(self.spark, f"{self.path}/changes/epoch={n}")
             for n in bases[:-1]:
-                self._remove(f"{self.path}/base/_finished/{n}")
-                self._remove(f"{self.path}/base/generation={n}")
+                delete(self.spark, f"{self.path}/base/_finished/{n}")
+                delete(self.spark, f"{self.path}/base/generation={n}")
 
     def check_checkpoint(self, checkpoint: str) -> None:
         """Batches are numbered by the checkpoint, so a table goes with one of them."""
-        if self.finished("changes") and not self.exists(f"{checkpoint}/metadata"):
+        if self.finished("changes") and not exists(self.spark, f"{checkpoint}/metadata"):
             raise ValueError(f"{self.path} has batches, but the checkpoint {checkpoint} is new")
 
 
