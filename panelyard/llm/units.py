@@ -59,7 +59,7 @@ def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
 class Units(Generic[T]):
     """What ``encode`` gives for the pieces of texts, remembered for up to ``limit`` pieces."""
 
-    def __init__(self, encode: Callable[[str], T], limit: int = 350_000):
+    def __init__(self, encode: Callable[[str], T], limit: int = 600_000):
         self.encode, self.limit = encode, limit
         self.known: dict[str, T] = {}
 
@@ -95,7 +95,7 @@ class Units(Generic[T]):
                     yield [self.encode(head), *map(self.get, rest)]
 
 
-KNOWN_WORDS = 350_000
+KNOWN_WORDS = 600_000
 
 
 def _library_encode(path: str) -> Callable[[str], bytes]:
