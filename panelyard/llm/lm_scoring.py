@@ -12,8 +12,9 @@ c(word) / (N + 1) with N words in the other documents, where an unseen word coun
 
 Defined results: a text without words (null and empty ones too) has no score, null; the
 only document of a table has nothing but unseen words; repeated rows are documents of
-their own; an empty table gives an empty result. Other columns are not read, whatever
-their names.
+their own; an empty table gives an empty result. N-grams are told apart by 64-bit hashes; two
+that share one share their count, which moves a score but never makes it infinite or a
+word's share larger than 1. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -83,7 +84,10 @@ def scores(grams: list[np.ndarray], counts: np.ndarray, totals: list[np.ndarray]
         open_words = np.isnan(log_score) & (seen if size > 1 else True) & (within >= size - 1)
         value = np.log(np.maximum(at_word[size - 1][open_words], 1))
         if size > 1:
-            value -= np.log(_by_word(others[size - 2], counts, size - 1, False)[open_words])
+            # A context occurs as often as its n-gram at least; where a shared hash says
+            # otherwise, the n-gram's count stands for both.
+            context = np.maximum(_by_word(others[size - 2], counts, size - 1, False), at_word[size - 1])
+            value -= np.log(context[open_words])
         longest = np.minimum(within[open_words] + 1, order)
         log_score[open_words] = value + (longest - size) * math.log(BACKOFF)
         level[open_words] = size
@@ -95,15 +99,13 @@ def scored(documents: DataFrame, order: int = ORDER, id_col: str = "doc_id", tex
            batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The id, ``n_words``, the words scored at each size and ``log_score``, their summed logarithms."""
     rows = pick(documents, id_col, text_col).toDF("key", "text")
-    batches, n, size = in_batches(rows, batch_bytes)
+    batches, n, _ = in_batches(rows, batch_bytes)
     sizes = [f"n_{size}_gram" for size in range(1, order + 1)]
 
     def items(table: pa.Table) -> np.ndarray:
         return np.concatenate(grams_of(table.column("text"), order)[0])
 
-    # With four bytes a word there are order * size / 4 n-grams. As many hashes as the square of
-    # that, up to 64 bits, hardly ever give two n-grams one hash.
-    counting = Counting(n, min(64, 2 * (order * size // 4 + 16).bit_length()), items)
+    counting = Counting(n, 64, items)
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         grams, counts = grams_of(texts.column("text"), order)

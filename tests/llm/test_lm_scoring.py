@@ -2,10 +2,11 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelyard.llm import lm_scoring
+from panelyard.llm import gram_counts, lm_scoring
 
 
 def words_of(text):
@@ -54,3 +55,25 @@ def test_empty_table_one_document_and_long_text(docs):
     assert rounded(map(tuple, lm_scoring.scored(docs(rows)).collect())) == rounded(by_hand(rows))
     rows = [(1, "tick tock " * 40_000), (2, "tick tock tack")]
     assert rounded(map(tuple, lm_scoring.scored(docs(rows)).collect())) == rounded(by_hand(rows))
+
+
+def test_hashes_are_whole_at_every_size(docs, monkeypatch):
+    asked = []
+    made = gram_counts.Counting
+    monkeypatch.setattr(lm_scoring, "Counting", lambda n, bits, items: asked.append(bits) or made(n, bits, items))
+    lm_scoring.scored(docs([(1, "a b")]))
+    assert asked == [64]
+
+
+@pytest.mark.parametrize("kinds", [2, 7, 40])
+def test_shared_hashes_never_give_infinite_scores(kinds):
+    """N-grams with few different hashes, as if most of them collided."""
+    rng = np.random.default_rng(kinds)
+    counts = np.array([30, 0, 1, 2, 25])
+    grams = [rng.integers(0, kinds * size, int(np.maximum(counts - size + 1, 0).sum())).astype(np.uint64)
+             for size in (1, 2, 3)]
+    totals = [np.unique(g, return_inverse=True, return_counts=True) for g in grams]
+    # Other texts hold any of them any number of times.
+    totals = [n[place] + rng.integers(0, 3, len(kind))[place] for kind, place, n in totals]
+    raw, *by_size = lm_scoring.scores(grams, counts, totals)
+    assert np.isfinite(raw).all() and (sum(by_size) == counts).all()
