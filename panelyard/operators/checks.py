@@ -27,12 +27,11 @@ def panel_facts(panel: DataFrame, spec: PanelSpec) -> DataFrame:
         F.coalesce(F.sum("valor_total"), F.lit(0.0)).alias("total"))
 
 
-def check_panel(panel: DataFrame, kept: DataFrame, spec: PanelSpec) -> dict:
-    """The panel is a rectangle and its sum is that of the kept items."""
+def check_panel(panel: DataFrame, expected: float, spec: PanelSpec) -> dict:
+    """The panel is a rectangle and its sum is ``expected``, that of the kept items."""
     facts = panel_facts(panel, spec).first().asDict()
     if facts["n_rows"] != facts["n_periods"] * facts["n_combos"]:
         raise InvariantError(f"the panel is no rectangle: {facts}")
-    expected = kept.agg(F.coalesce(F.sum(spec.columns.awarded), F.lit(0.0))).first()[0]
     if not abs(facts["total"] - expected) < 1e-6 * max(1.0, abs(expected)):
         raise InvariantError(
             f"the panel sums to {facts['total']}, the kept items to {expected}; "

@@ -19,11 +19,11 @@ from pyspark.sql import types as T
 from panelyard.functions import scalars
 from panelyard.functions.calendar import chunk_grid
 from panelyard.operators import checks, chunks, features, folds, items, panel, reports, transform
-from panelyard.plans.collect import collect, rejected_pages
+from panelyard.plans.collect import collect, rejected_pages, summarize
 from panelyard.plans.prepare import load_items, run_stages
 from panelyard.plans.star import (FEED_ORDER, SPEC, kept_layer, lines_first, raw_feed, table,
                                   typed_items, unique_items, with_roles)
-from panelyard.session import scratch_path, staged
+from panelyard.session import make_marker, scratch_path, staged
 from panelyard.sources import csv_items, landing, manifest, pages
 from panelyard.sources.known_items import KnownItems
 from panelyard.spec import CollectSpec, Layers
@@ -238,12 +238,25 @@ def rank_kind(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def rank_category(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.spend_summary(raw_feed(spark, folder), SPEC)[ROLES.category]
+    return reports.ranking(raw_feed(spark, folder), ROLES.category, SPEC, 20)
 
 
 @query
 def rank_description(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.spend_summary(raw_feed(spark, folder), SPEC)[ROLES.description]
+    return reports.with_label(reports.ranking(raw_feed(spark, folder), ROLES.description, SPEC, 20))
+
+
+@query
+def rank_over_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking by category of a raw table that grows by three runs, with a summary after
+    each: totals of finished runs are kept, so the last reads the last run only."""
+    path = scratch_path(spark, "raw")
+    rows = raw_feed(spark, folder).withColumn("run", F.pmod(F.xxhash64(ROLES.item_id), F.lit(3)).cast("int") + 1)
+    for run in (1, 2, 3):
+        rows.where(F.col("run") == run).write.mode("append").parquet(path)
+        make_marker(spark, f"{path}.runs/finished/{run}")
+        summary = summarize(spark, path, SPEC)
+    return summary[ROLES.category]
 
 
 @query

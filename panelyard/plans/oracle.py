@@ -334,6 +334,7 @@ SELECT {', '.join(f'count({t}_lag_{k}) AS {t}_lag_{k}' for k in (1, 4, 52) for t
     "rank_kind": ranking(ROLES.kind, ROLES.awarded),
     "rank_category": ranking(ROLES.category, ROLES.awarded, 20),
     "rank_description": ranking(ROLES.description, ROLES.awarded, 20, label=True),
+    "rank_over_runs": ranking(ROLES.category, ROLES.awarded, 20),
     "rank_estimated": ranking(ROLES.supplier, ROLES.estimated, 20),
     "weekly_raw_vs_kept": f"""WITH {UNIQUE}, {weekly('items', 'bruto')}, {weekly('kept', 'limpo')}
 SELECT domingo, bruto, coalesce(limpo, 0.0) AS limpo, bruto / 1e9 AS bruto_bi,
