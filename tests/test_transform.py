@@ -1,3 +1,5 @@
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,56 +11,70 @@ SPEC = PanelSpec()
 NAMES = numeric_features(SPEC)
 
 
+# Prices of eleven items; the numeric columns are multiples of them.
+PRICES = [3.5, 8.0, 8.0, 1.25, 40.0, 2.0, 6.5, 19.0, 0.5, 12.0, 7.75]
+KINDS = ["Obra", "Obra", "Bem", "Locação", "Obra", "Bem", "Obra", "Locação", "Locação", "Bem", "Obra"]
+CODES = ["31", "47", "31", "88", "05", "47", "31", "31", "12", "88", "47"]
+
+
 @pytest.fixture(scope="module")
 def matrix(spark):
-    kinds = F.when(F.col("id") % 2 == 0, "Material").otherwise("Serviço")
-    classes = F.element_at(F.array(*[F.lit(c) for c in "ABCD"]), (F.col("id") % 4 + 1).cast("int"))
-    return spark.range(20).select(
-        "id", *[F.col("id").cast("double").alias(n) for n in NAMES],
-        kinds.alias("materialOuServicoNome"), classes.alias("classe"))
+    rows = [(n, *row) for n, row in enumerate(zip(PRICES, KINDS, CODES))]
+    base = spark.createDataFrame(rows, "id long, price double, materialOuServicoNome string, classe string")
+    return base.select("id", *[(F.col("price") * (k + 1)).alias(n) for k, n in enumerate(NAMES)],
+                       "materialOuServicoNome", "classe")
 
 
 def vectors(frame):
     return [r["features"].toArray() for r in frame.orderBy("id").collect()]
 
 
-def test_width_and_unseen_category(matrix):
-    model = build_transformer(SPEC).fit(matrix)
-    rows = vectors(model.transform(matrix.withColumn(
-        "classe", F.when(F.col("id") == 0, "Z").otherwise(F.col("classe")))))
-    assert all(len(r) == 2 + 4 + len(NAMES) for r in rows)
-    assert list(rows[0][-4:]) == [0, 0, 0, 0] and list(rows[1][-4:]) == [0, 1, 0, 0]
-    assert list(rows[0][-6:-4]) == [1, 0]
+def test_categories_are_slots_in_order_and_unseen_ones_none(matrix):
+    train = matrix.where("id < 7")  # four codes and three kinds; "12" and no kind come later
+    rows = vectors(build_transformer(SPEC).fit(train).transform(matrix))
+    kinds, codes = sorted(set(KINDS[:7])), sorted(set(CODES[:7]))
+    assert {len(r) for r in rows} == {len(NAMES) + len(kinds) + len(codes)}
+    for row, kind, code in zip(rows, KINDS, CODES):
+        slots = row[len(NAMES):].tolist()
+        assert slots == [float(kind == k) for k in kinds] + [float(code == c) for c in codes]
+    assert sum(rows[8][len(NAMES):]) == 1 and CODES[8] not in codes
 
 
 def test_fitted_on_train_only(matrix):
-    model = build_transformer(SPEC).fit(matrix.where("id < 10")).stages[0]
+    train = PRICES[:7]
+    model = build_transformer(SPEC).fit(matrix.where("id < 7")).stages[0]
     means = dict(zip(model.getInputCols(), model.getOrDefault(model.means)))
     scales = dict(zip(model.getInputCols(), model.getOrDefault(model.scales)))
-    assert means["tendencia"] == pytest.approx(4.5)
-    assert scales["tendencia"] == pytest.approx((99 / 12) ** 0.5)
+    times = NAMES.index("tendencia") + 1
+    assert means["tendencia"] == pytest.approx(times * statistics.fmean(train))
+    assert scales["tendencia"] == pytest.approx(times * statistics.pstdev(train))
 
 
-def test_missing_values_are_filled(matrix):
-    gaps = matrix.withColumn("valor_lag_52", F.when(F.col("id") > 3, F.col("valor_lag_52")))
+def test_missing_values_get_the_median_of_the_rest(matrix):
+    name = "valor_lag_52"
+    gaps = matrix.withColumn(name, F.when(~F.col("id").isin(1, 4, 9), F.col(name)))
     rows = vectors(build_transformer(SPEC).fit(gaps).transform(gaps))
-    assert all(v == v for r in rows for v in r)
-    slot = NAMES.index("valor_lag_52")
-    assert rows[0][slot] == rows[3][slot]
+    slot = NAMES.index(name)
+    left = sorted(p for n, p in enumerate(PRICES) if n not in (1, 4, 9))
+    middle = (left[3] + left[4]) / 2
+    filled = [middle if n in (1, 4, 9) else p for n, p in enumerate(PRICES)]
+    want = [(p - statistics.fmean(filled)) / statistics.pstdev(filled) for p in filled]
+    assert [r[slot] for r in rows] == pytest.approx(want)
 
 
 def test_column_without_values_is_left_out_and_constant_is_zero(matrix, caplog):
     odd = matrix.withColumns({"valor_lag_52": F.lit(None).cast("double"), "mes": F.lit(0.1)})
     model = build_transformer(SPEC).fit(odd)
     rows = vectors(model.transform(odd))
-    assert len(rows[0]) == 2 + 4 + len(NAMES) - 1
+    assert len(rows[0]) == len(NAMES) - 1 + len(set(KINDS)) + len(set(CODES))
     assert "valor_lag_52" in caplog.text
     assert all(abs(r[NAMES.index("mes")]) < 1e-9 for r in rows)
 
 
-def test_medians_of_an_even_number_of_rows(matrix):
-    model = ImputeAndScale(inputCols=NAMES[:3], outputCol="n").fit(matrix)
-    assert model.getOrDefault(model.medians) == [9.5] * 3
+def test_medians_of_odd_and_even_numbers_of_rows(matrix):
+    for n in (10, 11):
+        model = ImputeAndScale(inputCols=NAMES[:3], outputCol="n").fit(matrix.where(F.col("id") < n))
+        assert model.getOrDefault(model.medians) == [k * statistics.median(PRICES[:n]) for k in (1, 2, 3)]
 
 
 def test_saved_model_reads_back(matrix, tmp_path):
