@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -84,3 +85,30 @@ def test_held_out_accuracy_and_no_leak(spark, sf):
     # Other languages on the held-out rows change nothing.
     other = table.withColumn("lang", F.when(lid.is_held_out(F.col("doc_id")), F.lit("zz")).otherwise(F.col("lang")))
     assert sorted(lid.train_and_predict(other).collect()) == sorted(got)
+
+
+def test_slices_and_parts_change_nothing(monkeypatch):
+    """Long texts in parts and n-grams in slices give the sums of one go."""
+    texts = [*TEXTS, "Straße, ΟΔΟΣ! 12 " * 9, " 1 " * 40 + "x", "ab" * 30]
+    whole = lid.bundled(texts, D)
+    for chars, size in ((7, 50), (64, 1000), (1 << 20, 30)):
+        monkeypatch.setattr(lid, "CHUNK_CHARS", chars)
+        monkeypatch.setattr(lid, "SLICE", size)
+        for want, got in zip(whole, lid.bundled(texts, D)):
+            assert (want == got).all()
+    assert all((own == by_hand(t)).all() for t, has, own in zip(texts, whole[0], whole[2]) if has)
+
+
+def test_many_kinds_of_ngrams_need_bounded_memory():
+    """A million characters from a large alphabet: nearly every n-gram is another."""
+    rng = np.random.default_rng(3)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 1_000_000)))
+    lid.bundled(["warm"], 1024)
+    tracemalloc.start()
+    try:
+        has, sizes, sums = lid.bundled([text], 1024)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert has[0] and sizes[0] == 1_000_000 and sums.any()
+    assert peak < 500e6
