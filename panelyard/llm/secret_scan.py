@@ -7,8 +7,7 @@
 2. ``Profile`` is learned from the words of all documents: the most frequent words are
    the dictionary, which gives the letter pairs and 4-letter pieces of normal text.
 3. ``with_features`` measures length, changes between kinds of characters, unusual letter
-   pairs, dictionary coverage, path and neighbouring words. Of a longer candidate the
-   first ``JUDGED`` characters are looked at, and its whole length counts.
+   pairs, dictionary coverage, path and neighbouring words, of the whole candidate.
 4. A random forest trained from labelled findings (``train``) tells secrets from false
    positives. Without findings labelled by people, ``seed_label`` labels the clear
    cases, and the forest decides the others too; keys of a known form are secrets.
@@ -41,7 +40,7 @@ ASSIGNED = rf"(?i)(?:{KEY_WORDS})[\"']?\s{{0,3}}(?::=|=>|=|:)\s{{0,3}}[\"']?([^\
 RUN_SIGN = "[A-Za-z0-9+/_=-]"
 RUN = rf"(?<!{RUN_SIGN}){RUN_SIGN}{{20,}}+"
 _BREAK = r"(?:\s|\\[nr]){1,4}+"  # also as written in JSON
-KEY_BODY = (rf"PRIVATE KEY(?: BLOCK)?-----{_BREAK}([A-Za-z0-9+/=]{{20,}}+(?:{_BREAK}[A-Za-z0-9+/=]{{20,}}+){{0,2000}}+"
+KEY_BODY = (rf"PRIVATE KEY(?: BLOCK)?-----{_BREAK}([A-Za-z0-9+/=]{{20,}}+(?:{_BREAK}[A-Za-z0-9+/=]{{20,}}+)*+"
             rf"(?:{_BREAK}[A-Za-z0-9+/=]{{1,19}}+(?={_BREAK}-----END))?+)")
 # Forms that say by themselves what they are, and the text before the body of a private key.
 KNOWN_KEY = (r"(?:^|=)(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[oprsu]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{50,}|"
@@ -53,7 +52,6 @@ WHOLE_RUN = r"^[^A-Za-z0-9+/_=-][A-Za-z0-9+/_=-]{20,}\z"  # with the character b
 HARMLESS_WORDS = (r"\b(?:example|sample|dummy|test|tests|sha1|sha256|md5|commit|checksum|uuid|isbn|order|"
                   r"phone)\b")
 AROUND = 40  # characters of neighbouring text
-JUDGED = 4096  # characters of a candidate that the features look at; it is found and masked whole
 
 DICTIONARY_WORDS = 2000
 TRAIN_ROWS = 10_000
@@ -156,7 +154,7 @@ def candidates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def with_features(found: DataFrame, profile: Profile) -> DataFrame:
     """``found`` with the columns ``FEATURES``."""
-    c = F.substring("candidate", 1, JUDGED)
+    c = F.col("candidate")
     low, n = F.lower(c), F.length(c)
 
     def share_in(size: int, known: tuple[str, ...]) -> Column:
@@ -169,14 +167,14 @@ def with_features(found: DataFrame, profile: Profile) -> DataFrame:
     path = F.lower("path")
     changes = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])"
     features = {
-        "length": F.length("candidate"),
+        "length": n,
         "digits": F.regexp_count(c, F.lit("[0-9]")) / n,
         "uppers": F.regexp_count(c, F.lit("[A-Z]")) / n,
         "class_changes": F.regexp_count(c, F.lit(changes)) / n,
         "odd_pairs": 1 - share_in(2, profile.pairs),
         "coverage": share_in(4, profile.pieces),
         "key_word": before.rlike(KEY_WORDS),
-        "known_key": F.col("candidate").rlike(KNOWN_KEY) | F.col("before").rlike(KEY_HEADER),
+        "known_key": c.rlike(KNOWN_KEY) | F.col("before").rlike(KEY_HEADER),
         "assigned": tail.rlike("[:=][ \"']*$"),
         "quoted": tail.rlike("[\"']$") & F.col("after").rlike("^[\"']"),
         "harmless": before.rlike(HARMLESS_WORDS),

@@ -183,3 +183,31 @@ def test_plan_has_no_python(spark, sf):
 
     plan = QUERIES["op8_secret_scan"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_features_look_at_whole_candidates(docs):
+    """The features of the string, by hand; what counts of a long one may come late."""
+    words = docs([(i, prose(random.Random(i), 40)) for i in range(20)])
+    profile = ss.Profile.of(words)
+    strings = [hexes(1), "7" * 5000 + "RIVERtownmorning" * 300, "x" * 6000 + mixed(3, 60) * 50, "aB3" * 4000]
+    found = ss.candidates(docs([(i, f'river token = "{s}" town') for i, s in enumerate(strings)]))
+    got = {r["candidate"]: r for r in ss.with_features(found, profile).collect()}
+    assert set(got) == set(strings)
+    for s in strings:
+        def share(size, known):
+            cut = [s.lower()[i:i + size] for i in range(len(s) - size + 1)]
+            return sum(c in known for c in cut) / len(cut)
+
+        kinds = ["a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "-" for c in s]
+        changes = sum(a != b and a != "-" for a, b in zip(kinds, kinds[1:]))
+        want = {"length": len(s), "digits": kinds.count("0") / len(s), "uppers": kinds.count("A") / len(s),
+                "class_changes": changes / len(s), "odd_pairs": 1 - share(2, set(profile.pairs)),
+                "coverage": share(4, set(profile.pieces)), "key_word": 1, "assigned": 1, "quoted": 1, "harmless": 0}
+        assert {k: got[s][k] for k in want} == pytest.approx(want)
+
+
+def test_long_key_bodies_are_found_whole(docs):
+    lines = [mixed(i, 60) for i in range(3000)]
+    body = "\n".join(lines)
+    text = f"river\n-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----\ntown"
+    assert body in {r["candidate"] for r in ss.candidates(docs([(1, text)])).collect()}
