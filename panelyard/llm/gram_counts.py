@@ -10,6 +10,9 @@ However frequent an item, a batch sends it once, and ranges of hashes are even,
 task gets more than its share. One message between a batch and an owner is one row:
 its items are sorted, so they travel as compressed differences. The answer is a bit per item and the counts of
 those that occur more often. Hashes are cut to the bits that the caller needs.
+
+A second round (``repeated_after``) may leave out what the answers of the first show to occur
+once, such as an n-gram with a part that occurs once.
 """
 
 from __future__ import annotations
@@ -73,35 +76,32 @@ class Counting:
         cuts = [0, *np.searchsorted(found, _bounds(self.n, self.bits)).tolist(), len(found)]
         return list(zip(cuts, cuts[1:]))
 
+    def _messages(self, batch: int, items: np.ndarray) -> pa.Table:
+        found, counts = np.unique(self.cut(items), return_counts=True)
+        rows = [(k, packed(found[a:b]), planes(counts[a:b]))
+                for k, (a, b) in enumerate(self.parts(found)) if a < b]
+        return pa.table({
+            "owner": pa.array([r[0] for r in rows], pa.int64()),
+            "batch": pa.array([batch] * len(rows), pa.int64()),
+            "items": pa.array([r[1] for r in rows], pa.binary()),
+            "counts": pa.array([r[2] for r in rows], pa.binary())})
+
     def repeated(self, batches: DataFrame) -> DataFrame:
         """Answers: ``batch``, ``owner``, ``more`` (a bit per item) and ``totals`` of those."""
         def send(table: pa.Table) -> pa.Table:
-            batch = table.column("batch")[0].as_py()
-            found, counts = np.unique(self.cut(self.items(table)), return_counts=True)
-            rows = [(k, packed(found[a:b]), planes(counts[a:b]))
-                    for k, (a, b) in enumerate(self.parts(found)) if a < b]
-            return pa.table({
-                "owner": pa.array([r[0] for r in rows], pa.int64()),
-                "batch": pa.array([batch] * len(rows), pa.int64()),
-                "items": pa.array([r[1] for r in rows], pa.binary()),
-                "counts": pa.array([r[2] for r in rows], pa.binary())})
-
-        def add_up(table: pa.Table) -> pa.Table:
-            parts = [unpacked(x.as_py()) for x in table.column("items")]
-            counts = np.concatenate([from_planes(x.as_py()) for x in table.column("counts")])
-            _, places = np.unique(np.concatenate(parts), return_inverse=True)
-            totals = np.bincount(places, counts.astype(float))[places].astype(np.uint64)
-            ends = np.cumsum([len(p) for p in parts]).tolist()
-            more = [totals[a:b] for a, b in zip([0, *ends], ends)]
-            return pa.table({
-                "batch": table.column("batch"), "owner": table.column("owner"),
-                "more": pa.array([np.packbits(t > 1).tobytes() for t in more], pa.binary()),
-                "totals": pa.array([planes(t[t > 1]) for t in more], pa.binary())})
-
-        sent = batches.groupBy("batch").applyInArrow(
-            send, "owner bigint, batch bigint, items binary, counts binary")
-        return sent.groupBy("owner").applyInArrow(
-            add_up, "batch bigint, owner bigint, more binary, totals binary")
+            return self._messages(table.column("batch")[0].as_py(), self.items(table))
+
+        return _added_up(batches.groupBy("batch").applyInArrow(send, _MESSAGES))
+
+    def repeated_after(self, batches: DataFrame, answers: DataFrame,
+                       items: Callable[[pa.Table, pa.Table], np.ndarray]) -> DataFrame:
+        """Answers for what ``items`` makes of a batch's texts and its ``answers`` of a round before."""
+        def send(table: pa.Table, known: pa.Table) -> pa.Table:
+            if not table.num_rows:
+                return self._messages(0, np.zeros(0, np.uint64))
+            return self._messages(table.column("batch")[0].as_py(), items(table, known))
+
+        return _added_up(batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(send, _MESSAGES))
 
     def totals(self, items: np.ndarray, answers: pa.Table) -> np.ndarray:
         """How often each item of a batch, in any order, occurs in all texts."""
@@ -113,3 +113,23 @@ class Counting:
             bits = np.unpackbits(np.frombuffer(more, np.uint8), count=b - a).astype(bool)
             totals[a:b][bits] = from_planes(counts)
         return totals[places]
+
+
+_MESSAGES = "owner bigint, batch bigint, items binary, counts binary"
+
+
+def _added_up(sent: DataFrame) -> DataFrame:
+    """What the owners answer to the messages ``sent``."""
+    def add_up(table: pa.Table) -> pa.Table:
+        parts = [unpacked(x.as_py()) for x in table.column("items")]
+        counts = np.concatenate([from_planes(x.as_py()) for x in table.column("counts")])
+        _, places = np.unique(np.concatenate(parts), return_inverse=True)
+        totals = np.bincount(places, counts.astype(float))[places].astype(np.uint64)
+        ends = np.cumsum([len(p) for p in parts]).tolist()
+        more = [totals[a:b] for a, b in zip([0, *ends], ends)]
+        return pa.table({
+            "batch": table.column("batch"), "owner": table.column("owner"),
+            "more": pa.array([np.packbits(t > 1).tobytes() for t in more], pa.binary()),
+            "totals": pa.array([planes(t[t > 1]) for t in more], pa.binary())})
+
+    return sent.groupBy("owner").applyInArrow(add_up, "batch bigint, owner bigint, more binary, totals binary")

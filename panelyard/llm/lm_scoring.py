@@ -2,7 +2,8 @@
 
 N-grams of all orders are hashed, counted over all documents by the owners of their
 hashes, and given back to the batches whose texts hold them (``gram_counts``); each
-batch joins the counts to its n-grams and sums logarithms per document.
+batch joins the counts to its n-grams and sums logarithms per document. Words and 2-grams come
+first: a longer n-gram with a 2-gram that occurs once occurs once, and is not sent.
 
 Every document is scored by the counts of all the others: its own occurrences are
 taken off. A word's score is c(n-gram) / c(context) for the longest n-gram that ends in
@@ -23,6 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +97,22 @@ def scores(grams: list[np.ndarray], counts: np.ndarray, totals: list[np.ndarray]
     return np.bincount(text_of_word, log_score, minlength=n_texts), *by_size
 
 
+def in_repeated(pairs: np.ndarray, counts: np.ndarray, order: int) -> list[np.ndarray]:
+    """For the n-grams of each size from 3 to ``order``: whether all their 2-grams occur more than once.
+
+    ``pairs`` are the counts of the 2-grams of all texts in all texts.
+    """
+    out, kept, n = [], pairs > 1, np.maximum(counts - 1, 0)
+    for size in range(3, order + 1):
+        # N-grams of a text are one less than those a word shorter: each joins two of them.
+        joined = np.append(kept[:-1] & kept[1:], False)
+        last = (np.cumsum(n) - 1)[n > 0]
+        kept = np.delete(joined[:len(kept)], last)
+        n = np.maximum(n - 1, 0)
+        out.append(kept)
+    return out
+
+
 def scored(documents: DataFrame, order: int = ORDER, id_col: str = "doc_id", text_col: str = "text",
            batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The id, ``n_words``, the words scored at each size and ``log_score``, their summed logarithms."""
@@ -103,19 +121,42 @@ def scored(documents: DataFrame, order: int = ORDER, id_col: str = "doc_id", tex
     sizes = [f"n_{size}_gram" for size in range(1, order + 1)]
 
     def items(table: pa.Table) -> np.ndarray:
-        return np.concatenate(grams_of(table.column("text"), order)[0])
+        return np.concatenate(grams_of(table.column("text"), min(order, 2))[0])
 
     counting = Counting(n, 64, items)
 
+    def split(joined: np.ndarray, grams: list[np.ndarray]) -> list[np.ndarray]:
+        return np.split(joined, np.cumsum([len(g) for g in grams])[:-1])
+
+    def short_totals(grams: list[np.ndarray], answers: pa.Table) -> list[np.ndarray]:
+        return split(counting.totals(np.concatenate(grams[:2]), answers), grams[:2])
+
+    def longer(texts: pa.Table, answers: pa.Table) -> np.ndarray:
+        grams, counts = grams_of(texts.column("text"), order)
+        kept = in_repeated(short_totals(grams, answers)[1], counts, order)
+        return np.concatenate([g[k] for g, k in zip(grams[2:], kept)])
+
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         grams, counts = grams_of(texts.column("text"), order)
-        ends = np.cumsum([len(g) for g in grams])[:-1]
-        totals = np.split(counting.totals(np.concatenate(grams), answers), ends)
+        first = pc.equal(answers.column("round"), 1)
+        totals = short_totals(grams, answers.filter(first))
+        if order > 2:
+            kept = in_repeated(totals[1], counts, order)
+            sent = [g[k] for g, k in zip(grams[2:], kept)]
+            known = split(counting.totals(np.concatenate(sent), answers.filter(pc.invert(first))), sent)
+            for g, k, t in zip(grams[2:], kept, known):
+                totals.append(np.ones(len(g), np.int64))
+                totals[-1][k] = t
         raw, *by_size = scores(grams, counts, totals)
         return pa.table([texts.column("key"), pa.array(counts, pa.int64()), pa.array(raw, pa.float64()),
                          *[pa.array(b, pa.int64()) for b in by_size]], names=["key", "n_words", "raw", *sizes])
 
-    found = staged(batches.groupBy("batch").cogroup(counting.repeated(batches).groupBy("batch")).applyInArrow(
+    short = counting.repeated(batches)
+    answers = short.withColumn("round", F.lit(1))
+    if order > 2:
+        answers = answers.unionByName(
+            counting.repeated_after(batches, short, longer).withColumn("round", F.lit(2)))
+    found = staged(batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
         score, f"key {rows.schema['key'].dataType.simpleString()}, n_words bigint, raw double, "
         + ", ".join(f"{s} bigint" for s in sizes)), "scores")
     words = found.agg(F.sum("n_words")).first()[0] or 0

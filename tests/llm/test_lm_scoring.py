@@ -77,3 +77,16 @@ def test_shared_hashes_never_give_infinite_scores(kinds):
     totals = [n[place] + rng.integers(0, 3, len(kind))[place] for kind, place, n in totals]
     raw, *by_size = lm_scoring.scores(grams, counts, totals)
     assert np.isfinite(raw).all() and (sum(by_size) == counts).all()
+
+
+@pytest.mark.parametrize("order", [2, 3, 5])
+def test_longer_ngrams_of_repeated_pairs(order):
+    rng = np.random.default_rng(order)
+    counts = np.array([0, 1, 2, 3, 9, 0, 4, 30, 1])
+    pairs = rng.integers(1, 3, int(np.maximum(counts - 1, 0).sum()))
+    got = lm_scoring.in_repeated(pairs, counts, order)
+    assert len(got) == max(0, order - 2)
+    of_text = np.split(pairs, np.cumsum(np.maximum(counts - 1, 0))[:-1])
+    for size, kept in enumerate(got, 3):
+        want = [all(own[i:i + size - 1] > 1) for own in of_text for i in range(len(own) - size + 2)]
+        assert kept.tolist() == want
