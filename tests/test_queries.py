@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_check import connect, differences
+from panelyard.plans import catalog
 from panelyard.plans.catalog import QUERIES
 from panelyard.plans.oracle import ORACLE
 
@@ -36,3 +37,13 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_pages_are_numbered_without_their_records(spark, monkeypatch):
+    seen = {}
+    staged = catalog.staged
+    monkeypatch.setattr(catalog, "staged", lambda df, name: seen.setdefault(name, []).append(df) or staged(df, name))
+    made = catalog.prepared_from_pages(spark, FOLDER)
+    assert len(seen["dated"]) == 1
+    assert [n.columns for n in seen["numbers"]] == [["chunk_start", "block", "page", "paginasRestantes"]] * 2
+    assert made.count() == catalog.panel_weekly(spark, FOLDER).count()
