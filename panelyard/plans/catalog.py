@@ -462,12 +462,17 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
         F.length(text).alias("length"), F.col("n_chars").cast("long"))
 
 
+_LINES_PER_FILE = 75_000
+
+
 def _text_files(lines: DataFrame, header: str, path: str, files: int = 8) -> None:
-    """(place, value) rows as text files that all begin with the header line."""
-    dealt = lines.withColumn("part", F.pmod("place", F.lit(files)))
+    """(place, value) rows as ``files`` text files, or more for long tables, that all begin with
+    the header line. A task sorts a few files, and equal remainders of places do not meet in one."""
+    files = max(files, -(-lines.count() // _LINES_PER_FILE))
+    dealt = lines.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(files)))
     headers = lines.sparkSession.range(files).select(
         F.lit(-1).cast("long").alias("place"), F.lit(header).alias("value"), F.col("id").alias("part"))
-    (dealt.unionByName(headers).repartition("part").sortWithinPartitions("part", "place")
+    (dealt.unionByName(headers).repartition(files, "part").sortWithinPartitions("part", "place")
      .select("value", "part").write.mode("append").partitionBy("part").text(path))
 
 

@@ -9,6 +9,8 @@ from oracle_check import connect, differences
 from panelyard.plans import catalog
 from panelyard.plans.catalog import QUERIES
 from panelyard.plans.oracle import ORACLE
+from panelyard.session import scratch_path
+from panelyard.sources import csv_items
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -47,3 +49,15 @@ def test_pages_are_numbered_without_their_records(spark, monkeypatch):
     assert len(seen["dated"]) == 1
     assert [n.columns for n in seen["numbers"]] == [["chunk_start", "block", "page", "paginasRestantes"]] * 2
     assert made.count() == catalog.panel_weekly(spark, FOLDER).count()
+
+
+def test_lines_are_dealt_evenly_and_long_tables_take_more_files(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "_LINES_PER_FILE", 50, raising=False)
+    path = scratch_path(spark, "dealt")
+    lines = spark.range(1000).selectExpr("id * 1000 + 1 AS place", "CAST(id AS STRING) AS value")
+    catalog._text_files(lines, "number", path)
+    read = spark.read.text(path)
+    sizes = [r["count"] for r in read.groupBy("part").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 120
+    assert read.where("value = 'number'").count() == 20
+    assert {r["number"] for r in csv_items.scan_csv(spark, path).rows.collect()} == {str(i) for i in range(1000)}
