@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from panelyard.llm.exact_dedup import ExactDedup, deduplicated
+from panelyard.llm.exact_dedup import FILE_MANAGER, ExactDedup, checkpoint_files, deduplicated
 
 
 def by_hand(rows):
@@ -90,3 +90,13 @@ def test_query_plan_has_no_python(spark, sf):
 
     plan = QUERIES["op3_exact_dedup"](spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_state_on_a_local_disk_starts_no_processes(docs, spark, tmp_path):
+    with checkpoint_files(spark, str(tmp_path)):
+        assert spark.conf.get(FILE_MANAGER).endswith("FileSystemBasedCheckpointFileManager")
+    assert spark.conf.get(FILE_MANAGER, None) is None
+    dedup = ExactDedup(spark, str(tmp_path / "d"))
+    dedup.add(dedup.copied(docs([(2, "a"), (1, "a"), (3, "b")])))
+    assert spark.conf.get(FILE_MANAGER, None) is None
+    assert sorted((r["keep_id"], r["n"]) for r in dedup.state().collect()) == [(1, 2), (3, 1)]
