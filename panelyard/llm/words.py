@@ -62,7 +62,10 @@ class TextTreatment:
         return None
 
     def holds_special(self, text: str) -> bool:
-        return any(s in text for s in self.special)
+        for special in self.special:
+            if special in text:
+                return True
+        return False
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens."""
@@ -76,5 +79,6 @@ class TextTreatment:
     def letters(self, word: str) -> str:
         """A word with a letter for each of its bytes."""
         if word.isascii():
-            return word.translate(_ASCII)
+            # Of the printable ones only the space has another letter.
+            return word.replace(" ", LETTERS[32]) if word.isprintable() else word.translate(_ASCII)
         return "".join([LETTERS[b] for b in word.encode()])

@@ -2,12 +2,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from public_tokenizers import path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from panelyard.llm import token_store
+from panelyard.llm import token_store, units, words
 from panelyard.llm.token_store import EliasFano
 
 FILE = path("byte_bpe_50k.json")
@@ -83,3 +84,17 @@ def test_query_on_the_table(spark, sf):
         assert row == (doc["doc_id"], start, len(ids),
                        zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_letters_of_a_word_stand_for_its_bytes():
+    treatment = words.TextTreatment(False, ("<|endoftext|>",))
+    for word in [*map(chr, range(128)), " word", " a\tb", "~ \x7f", " é\n", "", " naïve 1"]:
+        assert treatment.letters(word) == "".join(words.LETTERS[b] for b in word.encode())
+    assert treatment.holds_special("a<|endoftext|>b") and not treatment.holds_special("a<|endoftext|b")
+
+
+def test_words_known_from_other_pieces():
+    library = Tokenizer.from_file(FILE)
+    texts = ["say word, word word; (word) word's <|endoftext|> word<|endoftext|>", "\x01 \x7f\x01 a\x01b ~~ word", None, ""]
+    got = [np.frombuffer(x, "<u4").tolist() for x in units.library_ids(FILE, pa.array(texts * 2))]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts * 2]
