@@ -123,6 +123,53 @@ def test_near_copies_in_many_blocks_make_few_pairs(docs, monkeypatch):
     assert sum(made) < 480 * 4, made
 
 
+def links_by_hand(rows, per_cent=90, size=3):
+    """By document, with how many others it is linked; rows with equal ids and texts are one."""
+    kinds = list(dict.fromkeys(rows))
+    sets = [grams(t, size) for _, t in kinds]
+    found = dict.fromkeys(range(len(kinds)), 0)
+    for i, j in combinations(range(len(kinds)), 2):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= per_cent * len(sets[i] | sets[j]):
+            found[i] += 1
+            found[j] += 1
+    of = {kind: found[i] for i, kind in enumerate(kinds)}
+    return sorted(((k, of[k, t]) for k, t in rows), key=repr)
+
+
+@pytest.mark.parametrize("seed,settings", [(1, {}), (2, {"batch_bytes": 500}), (3, {"per_cent": 60}),
+                                           (4, {"per_cent": 100}), (5, {"per_cent": 80, "size": 5})])
+def test_every_link_is_counted(docs, monkeypatch, seed, settings):
+    monkeypatch.setattr(jaccard_join, "SLICE_GROUPS", 2)
+    rng = random.Random(seed)
+    copies = near_copies(rng, [f"n{i}" for i in range(100)], 60, 4)
+    rows = corpus(seed) + [(1000 + i, t) for i, t in enumerate(copies)]
+    rows += [(None, copies[0]), (None, copies[0]), (1001, copies[1]), (1001, copies[2] + " end")]
+    found = jaccard_join.with_links(docs(rows).repartition(3), **settings).collect()
+    known = {k: v for k, v in settings.items() if k != "batch_bytes"}
+    assert sorted(((r["doc_id"], r["n_links"]) for r in found), key=repr) == links_by_hand(rows, **known)
+    assert sorted((tuple(r)[:3] for r in found), key=repr) == by_hand(rows, **known)
+    plain = jaccard_join.join(docs(rows), **settings).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=repr) == sorted(map(tuple, plain), key=repr)
+    assert jaccard_join.with_links(docs([(1, None), (2, "")])).select("n_links").collect() == [(0,), (0,)]
+    assert jaccard_join.with_links(docs([])).collect() == []
+
+
+def test_the_query_verifies_pairs_that_are_connected_already(docs, spark, tmp_path, monkeypatch):
+    from panelyard.llm.queries import QUERIES
+
+    # Three texts that are linked with each other: one link more than connects them.
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*base, f"end{i}"])) for i in range(3)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    verified = []
+    linked = jaccard_join._Search.linked
+    monkeypatch.setattr(jaccard_join._Search, "linked",
+                        lambda self, pairs: verified.append(linked(self, pairs).count()) or linked(self, pairs))
+    got = sorted(tuple(r) for r in QUERIES["op7_jaccard_join"](spark, str(tmp_path)).collect())
+    assert got == by_hand(rows)
+    assert sum(verified) == 3
+
+
 def test_n_grams_of_the_same_groups_are_one_block(docs, monkeypatch):
     texts = [" ".join(f"w{i}x{j}" for j in range(200)) for i in range(30)]
     rows = list(enumerate(texts + [f"{t} end" for t in texts] + [f"alone {t[::-1]}" for t in texts]))
