@@ -1,6 +1,9 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import datetime as dt
 import os
+import time
+from pathlib import Path
 
 import pytest
 
@@ -9,7 +12,7 @@ from oracle_check import connect, differences
 from panelyard.plans import catalog
 from panelyard.plans.catalog import QUERIES
 from panelyard.plans.oracle import ORACLE
-from panelyard.session import scratch_path
+from panelyard.session import scratch_path, scratch_root, shuffles_freed
 from panelyard.sources import csv_items
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,6 +54,73 @@ def test_pages_are_numbered_without_their_records(spark, monkeypatch):
     assert made.count() == catalog.panel_weekly(spark, FOLDER).count()
 
 
+def star_tables(spark, path):
+    """Small tables of the feed: 60 orders, some lines twice with other prices."""
+    def write(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+
+    day = dt.datetime(2020, 1, 1)
+    lines = [(i % 60, i % 7, i % 5, i % 3, float(i % 9), 100.0 + i, i % 4 / 100, "OF"[i % 2], day + dt.timedelta(days=i))
+             for i in range(300)]
+    write("lineitem", lines + [(*x[:5], x[5] + 1, *x[6:8], x[8] + dt.timedelta(days=1)) for x in lines[:80]],
+          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+          "l_discount double, l_linestatus string, l_shipdate timestamp")
+    write("orders", [(i, i % 11, "FO"[i % 3 == 0]) for i in range(60)], "o_orderkey long, o_custkey long, o_orderstatus string")
+    write("part", [(i, f"name {i}", f"Brand#{i % 3}", f"type {i}", i, 10.0 * i) for i in range(7)],
+          "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    write("supplier", [(i, f"supplier {i}") for i in range(5)], "s_suppkey long, s_name string")
+    return str(path)
+
+
+def files_under(folder, pattern):
+    return {str(p) for p in Path(folder).rglob(pattern)}
+
+
+@pytest.mark.parametrize("name,gone", [
+    ("prepared_from_pages", ["dated", "pages", "first", "second", "unique_items"])])
+def test_a_preparation_leaves_neither_its_input_nor_shuffles(spark, tmp_path, monkeypatch, name, gone):
+    folder = star_tables(spark, tmp_path)
+    want = sorted(map(tuple, catalog.panel_weekly(spark, folder).collect()), key=repr)
+    root, freed = scratch_root(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, settings = files_under(root, "*"), []
+    load_items = catalog.load_items
+    monkeypatch.setattr(catalog, "load_items", lambda *args, **named: settings.append(
+        spark.conf.get(freed)) or load_items(*args, **named))
+    made = QUERIES[name](spark, folder)
+    left = files_under(root, "*") - before
+    assert not [p for p in left if Path(p).name in gone]
+    assert any(Path(p).name == "kept" for p in left)
+    assert settings == ["true"] and spark.conf.get(freed) == "false"
+    assert want and sorted(map(tuple, made.collect()), key=repr) == want
+
+
+def test_shuffles_are_freed_when_their_job_ends(spark):
+    local = spark.sparkContext._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().getConf())
+
+    def made():
+        files = files_under(Path(local).parent, "shuffle_*.data")
+        spark.range(1000).repartition(3, "id").write.format("noop").mode("overwrite").save()
+        for _ in range(50):  # they are removed in the background
+            if not files_under(Path(local).parent, "shuffle_*.data") - files:
+                return 0
+            time.sleep(0.1)
+        return len(files_under(Path(local).parent, "shuffle_*.data") - files)
+
+    with shuffles_freed(spark):
+        assert made() == 0
+
+
+def test_landed_pages_are_compressed(spark, tmp_path, monkeypatch):
+    seen = []
+    collect = catalog.collect
+    monkeypatch.setattr(catalog, "collect", lambda spark, spec, path, *more, **named: seen.append(
+        (files_under(path, "part-*"), files_under(path, "part-*.txt.gz"))) or collect(spark, spec, path, *more, **named))
+    catalog.prepared_from_pages(spark, star_tables(spark, tmp_path))
+    assert len(seen) == 2
+    for every, packed in seen:
+        assert every and every == packed
+
+
 def test_lines_are_dealt_evenly_and_long_tables_take_more_files(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_LINES_PER_FILE", 50, raising=False)
     path = scratch_path(spark, "dealt")
