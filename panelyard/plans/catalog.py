@@ -688,13 +688,19 @@ def union_of_slices(spark: SparkSession, folder: str) -> DataFrame:
 def prepared_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The whole way: the feed as CSV files in feed order, scanned, typed,
     deduplicated by file order, split, and aggregated to the weekly panel."""
-    path = scratch_path(spark, "feed")
-    # Ordered before columns are derived from others: the shuffle is narrower.
-    in_order = with_dimensions(table(spark, folder, "lineitem"), spark, folder).orderBy(*FEED_ORDER)
-    landing.append_landing(by_role(in_order), path, fmt="csv")
-    loaded, _, _ = load_items(spark, path, SPEC, columns=panel.item_columns(SPEC))
-    kept, _ = items.split_suspects(loaded, SPEC)
-    return panel.to_panel(kept.select(*panel.item_columns(SPEC)), SPEC)
+    target = scratch_path(spark, "kept")
+    with scratch_run(spark), shuffles_freed(spark):  # the feed, and what is made of it, go when the items are written
+        path = scratch_path(spark, "feed")
+        with scratch_run(spark):
+            joined = with_dimensions(table(spark, folder, "lineitem"), spark, folder)
+            # Written: the shuffles of the joins are gone when the feed is ordered and written.
+            joined = staged(joined.select(*FEED_ORDER[1:], *ROLE_INPUTS), "joined", "zstd")
+            # Ordered before columns are derived from others: the shuffle is narrower.
+            landing.append_landing(by_role(joined.orderBy(*FEED_ORDER)), path, fmt="csv")
+        loaded, _, _ = load_items(spark, path, SPEC, columns=panel.item_columns(SPEC))
+        kept, _ = items.split_suspects(loaded, SPEC)
+        kept = landing.write_layer(kept.select(*panel.item_columns(SPEC)), target)
+    return panel.to_panel(kept, SPEC)
 
 
 @query

@@ -77,7 +77,8 @@ def files_under(folder, pattern):
 
 
 @pytest.mark.parametrize("name,gone", [
-    ("prepared_from_pages", ["dated", "pages", "first", "second", "unique_items"])])
+    ("prepared_from_pages", ["dated", "pages", "first", "second", "unique_items"]),
+    ("prepared_from_csv", ["feed", "joined", "csv_lines", "unique_items"])])
 def test_a_preparation_leaves_neither_its_input_nor_shuffles(spark, tmp_path, monkeypatch, name, gone):
     folder = star_tables(spark, tmp_path)
     want = sorted(map(tuple, catalog.panel_weekly(spark, folder).collect()), key=repr)
