@@ -60,7 +60,7 @@ def star_tables(spark, path):
         spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
 
     day = dt.datetime(2020, 1, 1)
-    lines = [(i % 60, i % 7, i % 5, i % 3, float(i % 9), 100.0 + i, i % 4 / 100, "OF"[i % 2], day + dt.timedelta(days=i))
+    lines = [(i % 60, i % 7, i % 5, i // 60, float(i % 9), 100.0 + i, i % 4 / 100, "OF"[i % 2], day + dt.timedelta(days=i))
              for i in range(300)]
     write("lineitem", lines + [(*x[:5], x[5] + 1, *x[6:8], x[8] + dt.timedelta(days=1)) for x in lines[:80]],
           "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
